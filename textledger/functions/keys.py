@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
+NULL_MARK, FIELD_MARK = "\x1e", "\x1f"
 # First and last millisecond of the years 1 to 9999.
 _MIN_MS, _MAX_MS = -62_135_596_800_000, 253_402_300_799_999
 
@@ -18,14 +19,14 @@ def hash_identifier(raw: Column) -> Column:
 
 def content_key(borrower: Column, body: Column, time_ms: Column) -> Column:
     """Hash of a message's content; nulls and field borders cannot collide."""
-    parts = [F.coalesce(c.cast("string"), F.lit("\x00")) for c in (borrower, body, time_ms)]
-    return F.sha2(F.concat_ws("\x1f", *parts), 256)
+    parts = [F.coalesce(c.cast("string"), F.lit(NULL_MARK)) for c in (borrower, body, time_ms)]
+    return F.sha2(F.concat_ws(FIELD_MARK, *parts), 256)
 
 
 def raw_id(borrower: Column, sender: Column, body: Column, time_ms: Column) -> Column:
     """Row id derived from the content: a rerun gives the same ids, unlike a serial."""
-    parts = [F.coalesce(c.cast("string"), F.lit("\x00")) for c in (borrower, sender, body, time_ms)]
-    return F.sha2(F.concat_ws("\x1f", *parts), 256)
+    parts = [F.coalesce(c.cast("string"), F.lit(NULL_MARK)) for c in (borrower, sender, body, time_ms)]
+    return F.sha2(F.concat_ws(FIELD_MARK, *parts), 256)
 
 
 def epoch_date(time_ms: Column) -> Column:
