@@ -38,6 +38,11 @@ def epoch_date(time_ms: Column) -> Column:
     return F.when(time_ms.between(_MIN_MS, _MAX_MS), F.date_add(F.lit("1970-01-01").cast("date"), days))
 
 
+def period_of(date: Column) -> Column:
+    """First day of the month: the partition a date belongs to."""
+    return F.trunc(date, "MM").cast("date")
+
+
 def time_parts(time_ms: Column, date: Column | None = None) -> dict[str, Column]:
     """txn_year, txn_month, txn_date, txn_hour in UTC; null for a null or zero time.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import epoch_date
+from ..functions import epoch_date, period_of
 from ..functions.keys import DAY_MS
 from ..rules import RISK_CREDIT_DROP, RISK_CUTS, RISK_MAX_LOANS, RISK_POINTS
 from ..schemas import FEATURE_SCHEMA, MONEY
@@ -16,12 +16,23 @@ HOT_BORROWERS = 10_000
 LOOKBACK_DAYS = 90
 
 
+def on_date(table: DataFrame, date: Column | str) -> DataFrame:
+    """Rows of one date; a stored table is also cut to the month's partition."""
+    day = F.lit(date).cast("date") if isinstance(date, str) else date
+    if "txn_period" in table.columns:
+        table = table.where(F.col("txn_period") == period_of(day))
+    return table.where(F.col("txn_date") == day)
+
+
 def in_lookback(classified: DataFrame, as_of: Column | str, days: int | None = LOOKBACK_DAYS) -> DataFrame:
     """Rows dated ``days`` before ``as_of`` or later; ``None`` keeps the whole history."""
     if days is None:
         return classified
     anchor = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
-    return classified.where(F.col("txn_date") >= F.date_sub(anchor, days))
+    first = F.date_sub(anchor, days)
+    if "txn_period" in classified.columns:
+        classified = classified.where(F.col("txn_period") >= period_of(first))
+    return classified.where(F.col("txn_date") >= first)
 
 
 def has(*labels: str) -> Column:

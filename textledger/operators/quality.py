@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .features import on_date
+
 
 def delta_status(delta: Column) -> Column:
     return F.when(delta == 0, "OK").when(delta > 0, "DUPLICATE").otherwise("MISSING")
@@ -34,24 +37,25 @@ def reconcile_counts(device: DataFrame, ingested: DataFrame, key: str = "custome
 def daily_counts(messages: DataFrame, run_date: Column | str | None = None) -> DataFrame:
     """Messages per borrower and date; with ``run_date`` that date alone (a partition filter)."""
     if run_date is not None:
-        messages = messages.where(F.col("txn_date") == F.lit(run_date).cast("date"))
+        messages = on_date(messages, run_date)
     return messages.where(F.col("borrower_id").isNotNull()).groupBy("borrower_id", "txn_date").agg(
         F.count("*").alias("sms_count")
     )
 
 
-def count_discrepancies(actual: DataFrame, expected: DataFrame, tolerance_pct: int = 5) -> DataFrame:
-    """Borrowers whose count is off by more than the tolerance.
+def count_discrepancies(
+    actual: DataFrame, expected: DataFrame, keys: Sequence[str] = ("borrower_id",), tolerance_pct: int = 5
+) -> DataFrame:
+    """Keys whose count is off by more than the tolerance.
 
-    ``actual (borrower_id, actual)``, ``expected (borrower_id, expected)``, both one
-    row per borrower.  Whole numbers throughout: exactly 5 % passes.  A borrower
-    missing on either side counts as 0 there.
+    ``actual (*keys, actual)`` and ``expected (*keys, expected)`` hold one row per
+    key; a key missing on one side counts as 0 there.  Whole numbers throughout, so
+    exactly 5 % passes.
     """
-    joined = actual.where(F.col("borrower_id").isNotNull()).join(
-        expected.where(F.col("borrower_id").isNotNull()), "borrower_id", "full_outer"
-    )
+    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    joined = actual.where(known).join(expected.where(known), list(keys), "full_outer")
     filled = joined.select(
-        "borrower_id",
+        *keys,
         F.coalesce("expected", F.lit(0)).cast("bigint").alias("expected"),
         F.coalesce("actual", F.lit(0)).cast("bigint").alias("actual"),
     )

@@ -421,15 +421,15 @@ def oracle_sql() -> dict[str, str]:
                          coalesce(ingested_count, 0) AS ingested_count FROM d FULL OUTER JOIN i ON d.customer_id = i.customer_id)
             SELECT *, ingested_count - device_count AS delta, CASE WHEN ingested_count = device_count THEN 'OK'
               WHEN ingested_count > device_count THEN 'DUPLICATE' ELSE 'MISSING' END AS status FROM j""",
-        "count_tolerance": f"""WITH {LABELLED},
-            a AS (SELECT borrower_id, count(*) AS actual FROM labelled GROUP BY 1),
-            e AS (SELECT borrower_id, count(*) AS expected FROM tagged WHERE sender_tag <> 'OTHER' GROUP BY 1),
-            j AS (SELECT coalesce(a.borrower_id, e.borrower_id) AS borrower_id, coalesce(expected, 0) AS expected,
-                         coalesce(actual, 0) AS actual FROM a FULL OUTER JOIN e ON a.borrower_id = e.borrower_id)
-            SELECT * FROM j WHERE borrower_id IS NOT NULL AND abs(actual - expected) > 0.45 * expected""",
-        "payload_mismatch": """SELECT doc_id AS payload_id, len(list_filter(string_split("text", chr(10)), lambda l: l <> '')) AS expected,
+        "count_tolerance": f"""WITH {_deduplicated(TAGGED)},
+            a AS (SELECT borrower_id, txn_date, count(*) AS actual FROM survivors GROUP BY ALL),
+            e AS (SELECT borrower_id, txn_date, count(*) AS expected FROM raw GROUP BY ALL)
+            SELECT e.borrower_id, CAST(e.txn_date AS VARCHAR) AS txn_date, expected, coalesce(actual, 0) AS actual
+            FROM e LEFT JOIN a ON e.borrower_id = a.borrower_id AND e.txn_date = a.txn_date
+            WHERE e.borrower_id IS NOT NULL AND e.txn_date IS NOT NULL AND abs(coalesce(actual, 0) - expected) > 0.05 * expected""",
+        "payload_mismatch": """SELECT doc_id AS payload_id, len(list_distinct(string_split("text", chr(10)))) AS expected,
             len(string_split("text", chr(10))) AS received FROM documents
-            WHERE len(list_filter(string_split("text", chr(10)), lambda l: l <> '')) <> len(string_split("text", chr(10)))""",
+            WHERE len(list_distinct(string_split("text", chr(10)))) <> len(string_split("text", chr(10)))""",
         "constraint_violations": f"""WITH {LABELLED}
             SELECT 'not_null:borrower_id' AS "check", count(*) AS violations FROM raw WHERE borrower_id IS NULL
             UNION ALL SELECT 'not_null:sms_sender', count(*) FROM raw WHERE sms_sender IS NULL

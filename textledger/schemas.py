@@ -33,6 +33,10 @@ RAW = T.StructType(
     ]
 )
 
+# Tables on disk are partitioned by the first day of the month.  An upload can
+# carry years of inbox; by day it would touch thousands of folders.
+PERIOD = T.StructField("txn_period", T.DateType())
+
 CLASSIFIED = T.StructType(
     [
         T.StructField("raw_id", T.StringType()),
