@@ -17,10 +17,10 @@ from .tagging import any_key
 WORD = r"\p{L}\p{N}_"
 SPACE = r"\s\p{Z}\x1c-\x1f\x85"
 
-# One digit of a free-standing run of 6 to 18 digits that is not among its last
+# One digit of a free-standing run of N to 18 digits that is not among its last
 # four: four digits follow, and the run seen from its start has the right length.
 _LEADING_DIGIT = (
-    rf"\p{{Nd}}(?=\p{{Nd}}{{4}})(?<=(?<![{WORD}])(?=\p{{Nd}}{{6,18}}(?![{WORD}]))\p{{Nd}}{{1,14}})"
+    rf"\p{{Nd}}(?=\p{{Nd}}{{4}})(?<=(?<![{WORD}])(?=\p{{Nd}}{{%d,18}}(?![{WORD}]))\p{{Nd}}{{1,14}})"
 )
 _ACCOUNT_PREFIX = rf"(A/?[Cc][{SPACE}#:.]*)\p{{Nd}}+(\p{{Nd}}{{4}})"
 _HANDLE = rf"[{WORD}.\-]+@[{WORD}]+"
@@ -28,13 +28,13 @@ _SIX_DIGITS = rf"(?<![{WORD}])\p{{Nd}}{{6}}(?![{WORD}])"
 _MONEY_CAP = "decimal(38,2)"
 
 
-def mask_accounts(text: Column) -> Column:
-    """Keep the last four digits of account-like runs, X for each digit before.
+def mask_accounts(text: Column, shortest: int = 6) -> Column:
+    """Keep the last four digits of runs of ``shortest`` to 18 digits, X for each digit before.
 
     The replacement keeps the length, so it is one pass that swaps single digits
     chosen by look-around rather than one pass per run length.
     """
-    masked = F.regexp_replace(text, _LEADING_DIGIT, "X")
+    masked = F.regexp_replace(text, _LEADING_DIGIT % shortest, "X")
     return F.regexp_replace(masked, _ACCOUNT_PREFIX, "$1XXXX$2")
 
 
@@ -44,10 +44,11 @@ def sanitize_body(body: Column, otp_first: bool = False) -> Column:
     The rule for six-digit codes (-> 000000) comes last and can then find nothing:
     the account rule has rewritten every free-standing six-digit run, and no rule
     makes a new one.  So it costs no pass here; ``otp_first=True`` runs it in front
-    of the others, where it has effect.
+    of the others, where it has effect, and leaves longer runs to the account rule.
     """
     text = F.regexp_replace(body, _SIX_DIGITS, "000000") if otp_first else body
-    text = F.when(text.rlike(r"\p{Nd}{5}"), mask_accounts(text)).otherwise(text)
+    masked = mask_accounts(text, shortest=7 if otp_first else 6)
+    text = F.when(text.rlike(r"\p{Nd}{5}"), masked).otherwise(text)
     # Without an @ sign the handle pattern would only scan every word in vain.
     return F.when(F.contains(body, F.lit("@")), F.regexp_replace(text, _HANDLE, "XXXX@upi")).otherwise(text)
 

@@ -13,6 +13,7 @@ from ..functions import (
 )
 from ..rules import DEFAULT_RULES, RuleSet
 from ..schemas import RENAMES
+from .dedup import dedup_messages
 
 
 def to_raw(messages: DataFrame) -> DataFrame:
@@ -89,6 +90,36 @@ def classify(raw: DataFrame, rules: RuleSet = DEFAULT_RULES, extra: Sequence[str
     )
 
 
+def classify_deduplicated(raw: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    """``classify(dedup_messages(raw))`` with far less to shuffle.
+
+    Deduplication must see rejected messages too, as one of them may be the copy
+    that survives.  It needs only their key and id, though.  So messages are
+    classified first, rejected ones are carried along without text, and the
+    survivors that were rejected are dropped at the end.
+    """
+    tagged = tag_senders(raw, rules)
+    financial = F.col("sender_tag").isin(*rules.kept_tags)
+    lowered = pin(tagged, _body_lower=F.when(financial, F.coalesce(F.lower("sms_body"), F.lit(""))).otherwise(""))
+    body = F.col("_body_lower")
+    # A noisy message goes on without a tag, which no label accepts; the tag is tested before the keywords.
+    quiet = pin(lowered, _label_tag=F.when(is_noise(body, rules), "").otherwise(F.col("sender_tag")))
+    labelled = pin(quiet, categories=label_array(F.col("_label_tag"), body, rules, noise_removed=True))
+    kept = F.size("categories") > 0
+    priced = pin(
+        labelled,
+        amount=F.when(kept, extract_amount(body)),
+        balance=F.when(kept, extract_balance(body)),
+        _clean=F.when(kept, sanitize_body(F.col("sms_body"))),
+    )
+    parts = time_parts(F.col("inbox_time_ms"), F.col("txn_date"))
+    narrow = priced.select(
+        "raw_id", "borrower_id", "sender_tag", "categories", F.col("_clean").alias("sms_body"), "amount", "balance",
+        *[value.alias(name) for name, value in parts.items()], "inbox_time_ms",
+    )
+    return dedup_messages(narrow).where(kept)
+
+
 def collect_records(
     messages: DataFrame, rules: RuleSet = DEFAULT_RULES, collected_at: Column | None = None
 ) -> DataFrame:

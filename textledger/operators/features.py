@@ -9,6 +9,7 @@ from ..functions import epoch_date, period_of
 from ..functions.keys import DAY_MS
 from ..rules import RISK_CREDIT_DROP, RISK_CUTS, RISK_MAX_LOANS, RISK_POINTS
 from ..schemas import FEATURE_SCHEMA, MONEY
+from ..sources.settle import settle
 
 # Borrowers whose latest time is broadcast.  The limit bounds the broadcast; a
 # borrower outside it holds less than 1/HOT_BORROWERS of all rows.
@@ -117,9 +118,8 @@ def credit_momentum(classified: DataFrame, totals: DataFrame) -> DataFrame:
     joined by a shuffle.  Ratio 1.0 where the divisor is not positive.
     """
     latest = totals.select("borrower_id", F.col("_last_ms").alias("latest_ms"), "total_financial_sms_90d")
-    hot = F.broadcast(
-        latest.orderBy(F.desc("total_financial_sms_90d"), "borrower_id").limit(HOT_BORROWERS).select("borrower_id", "latest_ms")
-    )
+    largest_first = latest.orderBy(F.desc("total_financial_sms_90d"), "borrower_id")
+    hot = F.broadcast(largest_first.limit(HOT_BORROWERS).select("borrower_id", "latest_ms"))
     ticks = classified.where(F.col("borrower_id").isNotNull() & is_credit() & F.col("amount").isNotNull()).select(
         "borrower_id", "inbox_time_ms", "amount"
     )
@@ -155,11 +155,12 @@ def borrower_features(
 ) -> DataFrame:
     """Full feature row per borrower, with momentum, score and flag.
 
-    Reads its input several times: pass a table (or a settled frame), not a plan
-    that would classify the messages again for each reading.
+    Reads its input three times: pass a table (or a settled frame), not a plan that
+    would classify the messages again for each reading.  The totals, one row per
+    borrower, are written once, as the momentum reads them twice more.
     """
     rows = in_lookback(classified, as_of, lookback_days) if lookback_days is not None else classified
-    totals = borrower_totals(rows, with_ddl=True)
+    totals = settle(borrower_totals(rows, with_ddl=True), "totals")
     momentum = credit_momentum(rows, totals).select("borrower_id", "credit_momentum")
     joined = totals.join(momentum, "borrower_id", "left").withColumn(
         "credit_momentum", F.coalesce("credit_momentum", F.lit(1.0))

@@ -55,11 +55,11 @@ def _money(body: str, patterns) -> str:
 WORDS = r"'[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+'"
 
 
-def _mask(text: str) -> str:
+def _mask(text: str, shortest: int = 6) -> str:
     """Split into words and gaps; a word of 6 to 18 digits keeps its last four."""
     runs = (
         f"array_to_string(list_transform(regexp_extract_all({text}, {WORDS}), lambda w: "
-        r"CASE WHEN regexp_full_match(w, '\p{Nd}{6,18}') "
+        rf"CASE WHEN regexp_full_match(w, '\p{{Nd}}{{{shortest},18}}') "
         "THEN repeat('X', length(w) - 4) || right(w, 4) ELSE w END), '')"
     )
     return (
@@ -346,7 +346,7 @@ def oracle_sql() -> dict[str, str]:
         "mask_documents": f"SELECT doc_id, {_mask('text')} AS masked FROM documents",
         "sanitize_messages": f"WITH {MSG} SELECT raw_id, {_sanitize('sms_body')} AS clean FROM raw",
         "sanitize_documents": f"SELECT doc_id, {_sanitize('text')} AS clean FROM documents",
-        "sanitize_conversations_otp_first": f"""SELECT conv_id, turn, {_handles(_mask(_codes('"text"')))} AS clean FROM conversations""",
+        "sanitize_conversations_otp_first": f"""SELECT conv_id, turn, {_handles(_mask(_codes('"text"'), 7))} AS clean FROM conversations""",
         "hash_ids": "SELECT s_suppkey, sha256(s_name) AS id_hash FROM supplier",
         "message_time_parts": f"""WITH {MSG} SELECT raw_id, year({_KNOWN_DATE}) AS txn_year, month({_KNOWN_DATE}) AS txn_month,
             CAST({_KNOWN_DATE} AS VARCHAR) AS txn_date, {_HOUR} AS txn_hour FROM raw""",
@@ -357,7 +357,7 @@ def oracle_sql() -> dict[str, str]:
             '["' || replace(categories, '|', '","') || '"]' AS categories_json, CAST(txn_date AS VARCHAR) AS txn_date FROM labelled""",
         "dedup_by_time": f"""WITH {MSG} SELECT raw_id, borrower_id, inbox_time_ms, sms_sender FROM raw
             QUALIFY row_number() OVER (PARTITION BY borrower_id, inbox_time_ms
-              ORDER BY sms_sender NULLS FIRST, sms_body NULLS FIRST, raw_id) = 1""",
+              ORDER BY raw_id) = 1""",
         "dedup_by_content": f"""WITH {CLASSIFIED} SELECT raw_id, any_value(borrower_id) AS borrower_id,
             CAST(any_value(amount) AS DOUBLE) AS amount, any_value(categories) AS categories FROM classified GROUP BY raw_id""",
         "content_keys": f"""WITH {MSG} SELECT sha256(concat_ws(chr(31), coalesce(borrower_id, chr(30)), coalesce(sms_body, chr(30)),
@@ -456,6 +456,6 @@ def oracle_sql() -> dict[str, str]:
 def _deduplicated(ctes: str) -> str:
     """The same CTEs over the survivors of deduplication by (borrower, millisecond)."""
     survivors = """, survivors AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY borrower_id, inbox_time_ms
-        ORDER BY sms_sender NULLS FIRST, sms_body NULLS FIRST, raw_id) = 1)"""
+        ORDER BY raw_id) = 1)"""
     head, tail = MSG, ctes[len(MSG):]
     return head + survivors + tail.replace("FROM raw)", "FROM survivors)")

@@ -13,7 +13,7 @@ from ..functions import (
 )
 from ..operators import quality, reports
 from ..operators.classify import (
-    classify, collect_records, create_tagged_view, label_messages, tag_senders, tag_senders_from, to_raw,
+    classify, classify_deduplicated, collect_records, create_tagged_view, label_messages, tag_senders, tag_senders_from, to_raw,
 )
 from ..operators.dedup import dedup_content, dedup_messages
 from ..operators.features import (
@@ -275,7 +275,7 @@ def incremental_runs(spark, sf_dir):
 def classified_table(spark, sf_dir):
     """Full refresh of the classified table from deduplicated messages, read back by date."""
     path = fresh_path(spark, "classified")
-    written = replace_classified(classify(dedup_messages(_raw(spark, sf_dir))), path)
+    written = replace_classified(classify_deduplicated(_raw(spark, sf_dir)), path)
     table = read_classified(spark, path)
     return table.groupBy("txn_year", "txn_month", "sender_tag").agg(
         F.count("*").alias("n"), F.sum("amount").cast("decimal(25,2)").alias("amount")

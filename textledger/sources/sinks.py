@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,31 +43,32 @@ def read_markers(spark: SparkSession, path: str) -> DataFrame:
     return _read_or_empty(spark, path, T.StructType([*MARKERS, PERIOD]))
 
 
-def _write_counted(df: DataFrame, path: str, mode: str) -> int:
-    seen = Observation("written")
-    rows = by_period(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    rows.write.mode(mode).partitionBy("txn_period").parquet(path)
-    return int(seen.get["rows"])
+def write_counted(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write and return the number of rows, in one pass.
+
+    The observation sits right below the write, above every shuffle: only tasks of
+    the last stage count exactly once when executors are lost or a range exchange
+    samples its input.
+    """
+    seen = Observation()
+    write(rows.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return int(seen.get.get("rows", 0))
 
 
 def append_classified(classified: DataFrame, path: str) -> int:
     """Append to the table partitioned by month."""
-    return _write_counted(classified, path, "append")
+    return write_counted(by_period(classified), lambda r: r.write.mode("append").partitionBy("txn_period").parquet(path))
 
 
 def replace_classified(classified: DataFrame, path: str) -> int:
     """Full refresh of the classified table."""
-    return _write_counted(classified, path, "overwrite")
+    return write_counted(by_period(classified), lambda r: r.write.mode("overwrite").partitionBy("txn_period").parquet(path))
 
 
 def write_features(features: DataFrame, path: str) -> int:
     """Full refresh of a feature table, range-partitioned and sorted by borrower for lookups."""
-    seen = Observation("features")
-    rows = features.observe(seen, F.count(F.lit(1)).alias("rows"))
-    rows.repartitionByRange("borrower_id").sortWithinPartitions("borrower_id").write.mode("overwrite").option(
-        "compression", "snappy"
-    ).parquet(path)
-    return int(seen.get["rows"])
+    rows = features.repartitionByRange("borrower_id").sortWithinPartitions("borrower_id")
+    return write_counted(rows, lambda r: r.write.mode("overwrite").option("compression", "snappy").parquet(path))
 
 
 def write_features_jdbc(features: DataFrame, url: str, table: str, partitions: int = 16, batch_size: int = 1000, **options: str) -> None:
