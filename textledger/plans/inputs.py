@@ -111,6 +111,9 @@ FROM (
 """
 
 
+LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -136,10 +139,7 @@ def _bytes(setting: str) -> int:
 
 def sms_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Derived raw input (see :data:`textledger.schemas.RAW_INPUT`)."""
-    lines = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"
-    )
-    return derive_messages(spread(lines))
+    return derive_messages(spread(read_table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)))
 
 
 def derive_messages(lines: DataFrame) -> DataFrame:

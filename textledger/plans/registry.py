@@ -29,7 +29,7 @@ from ..sources.sinks import flatten_for_sink, parse_categories, read_classified,
 from ..streaming.jobs import (
     classify_stream, daily_counts_stream, dedup_stream, drain_batches, drain_to_parquet, refresh_features,
 )
-from .inputs import derive_messages, read_table, sms_input
+from .inputs import LINE_COLUMNS, derive_messages, read_table, sms_input
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -441,9 +441,10 @@ def constraint_violations(spark, sf_dir):
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read_table(spark, sf_dir, "lineitem")
-    stream = spark.readStream.schema(lines.schema).parquet(f"{sf_dir}/lineitem.parquet*")
-    return derive_messages(stream)
+    schema = read_table(spark, sf_dir, "lineitem").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parquet*").select(*LINE_COLUMNS)
+    # One file is one task; a real inbox arrives as many files.
+    return derive_messages(stream.repartition(spark.sparkContext.defaultParallelism))
 
 
 @query
