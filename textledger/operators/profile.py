@@ -1,6 +1,6 @@
 """Wide borrower profile and its additive risk score.
 
-The reference names these features without formulas.  The definitions here:
+These features were published by name, without formulas.  The definitions here:
 
 * window: the ``lookback_days`` up to ``as_of``; "monthly" is the window's sum
   scaled to 30 days; credits and debits as in :mod:`.features`;
