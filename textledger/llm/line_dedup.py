@@ -83,8 +83,9 @@ def removable_chunks(docs: DataFrame) -> DataFrame:
                 .select("id", "hash", "p.code", F.unhex(F.md5("p.passage")).alias("key")))
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "hash", "code")
     narrow = scratch.keep(passages)
-    repeated = narrow.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
-    marked = (narrow.join(repeated.select("key", "first"), "key").select("id", "hash", F.struct("code", "key", (place == F.col("first")).alias("first")).alias("mark"))
+    # Written, so that a very frequent passage can be split in the joins that follow.
+    repeated = scratch.keep(narrow.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("key", "first"))
+    marked = (narrow.join(repeated, "key").select("id", "hash", F.struct("code", "key", (place == F.col("first")).alias("first")).alias("mark"))
               .groupBy("id", "hash").agg(F.collect_set("mark").alias("marks")))
 
     # The texts move once, to meet their marks.
@@ -95,7 +96,7 @@ def removable_chunks(docs: DataFrame) -> DataFrame:
     shown = (met.where("marks IS NOT NULL").select("id", "hash", F.explode(let(_lines(F.col("row.text").cast("string")), lambda lines: F.transform(
         "marks", lambda m: F.struct(m["code"].alias("code"), m["key"].alias("key"), m["first"].alias("first"), _joined(lines, m["code"]).alias("passage"))))).alias("s"))
              .select("id", "hash", "s.*"))
-    kept = shown.where("first").groupBy("key").agg(F.min("passage").alias("kept"))
+    kept = scratch.keep(shown.where("first").groupBy("key").agg(F.min("passage").alias("kept")))
     unlike = (shown.where("NOT first").join(kept, "key").where("passage <> kept").groupBy("id", "hash").agg(F.collect_set("code").alias("unlike")))
     unlike = scratch.keep(unlike)
     gone = F.transform(F.filter("marks", lambda m: ~m["first"]), lambda m: m["code"])
