@@ -19,7 +19,7 @@ from .common import id_and_text, whole_text
 _MASK = (1 << 64) - 1
 _ODD = 0x9E3779B97F4A7C15
 #: Pre-tokens kept with their ids in each task; the memo starts anew when it is full.
-MEMO = 1 << 19
+MEMO = 1 << 18
 MEMO_CHARS = 48
 #: Texts longer than this are cut into pre-tokens and hashed piece by piece.
 LONG_TEXT = 1 << 20

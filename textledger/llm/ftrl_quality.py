@@ -23,7 +23,7 @@ EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
 #: A feature's value is its share of the text's tokens times this.
 SCALE = 10.0
-MEMO = 1 << 19
+MEMO = 1 << 18
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 

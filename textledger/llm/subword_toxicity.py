@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -16,13 +17,13 @@ BUCKETS = 1 << 17
 DIMENSIONS = 8
 GRAMS = (3, 4)
 #: Most labelled documents a model is fitted on: a fixed sample by hash order, whatever the input's size.
-SAMPLE = 8_000
+SAMPLE = 6_000
 EPOCHS = 8
 RATE = 1.5
 #: A text is scored in half-overlapping spans of so many words, the most toxic of which decides: an insult in a
 #: long text counts as it would in a short one.
 SPAN = 512
-MEMO = 1 << 19
+MEMO = 1 << 18
 
 
 def subwords(word: str) -> list[int]:
@@ -38,11 +39,14 @@ class Bags:
 
     def __init__(self, texts: list[str]):
         numbers: dict[str, int] = {}
-        self.texts = [np.array([numbers.setdefault(w, len(numbers)) for w in t.lower().split()], np.int64) for t in texts]
-        found = [subwords(w) for w in numbers]
-        self.sizes = np.array([len(f) for f in found], np.int64)
+        self.texts = [np.array([numbers.setdefault(w, len(numbers)) for w in t.lower().split()], np.int32) for t in texts]
+        sizes, buckets = array("i"), array("i")
+        for word in numbers:
+            found = subwords(word)
+            sizes.append(len(found))
+            buckets.extend(found)
+        self.sizes, self.buckets = np.array(sizes, np.int64), np.array(buckets, np.int32)
         self.starts = np.concatenate(([0], self.sizes.cumsum()))[:-1].astype(np.int64)
-        self.buckets = np.fromiter((g for f in found for g in f), np.int64, int(self.sizes.sum()))
 
     def average(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct buckets and their weights in the average over words of the average over subwords."""
