@@ -82,6 +82,8 @@ def test_lookback(spark):
     assert [r.sum_credit_amount_90d for r in warehouse_features(rows, AS_OF).collect()] == [Decimal("1.00")]
     assert [r.sum_credit_amount_90d for r in warehouse_features(rows, AS_OF, None).collect()] == [Decimal("3.00")]
     assert in_lookback(rows, F.lit(AS_OF).cast("date"), 0).count() == 1
+    later = facts(spark, [("b", C, "1", None, -DAY)])
+    assert in_lookback(later, AS_OF).count() == 0
 
 
 def test_empty_input(spark):

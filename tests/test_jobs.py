@@ -1,6 +1,6 @@
 from test_classify import SAMPLES, messages
 
-from textledger.plans.jobs import Tables, daily_run, full_refresh
+from textledger.plans.jobs import Tables, daily_run, full_refresh, read_features
 
 
 def test_full_refresh_twice(spark, tmp_path):
@@ -31,3 +31,18 @@ def test_daily_runs(spark, tmp_path):
     row = spark.table("daily_features").where("borrower_id = 'abc123'").first()
     assert (row.total_financial_sms_90d, int(row.sum_credit_amount_90d)) == (2, 5009)
     assert spark.table("daily_features").count() == 3
+
+
+def test_daily_run_continues_a_refresh(spark, tmp_path):
+    tables, day = Tables(str(tmp_path / "t")), 1700000000000
+    both = [("b1", "hdfcbk", "Rs.100 credited to a/c", day), ("b1", "hdfcbk", "Rs.700 credited to a/c", day), ("b2", "hdfcbk", "Rs.50 credited to a/c", day)]
+    for run in ("2024-05-01", "2024-05-01"):  # a refresh may run again
+        out = full_refresh(messages(spark, both), tables, run, view="cycle_features")
+        assert out.counts == {"raw": 3, "kept": 2, "borrowers": 2}
+    fresh = [("b3", "hdfcbk", "Rs.9 credited to a/c", day + 1000)]
+    second = daily_run(messages(spark, fresh), tables, "2024-05-02", "2023-11-14", "cycle_features")
+    assert second.counts == {"raw": 1, "kept": 1}  # the duplicate of b1 does not come back
+    rows = {r.borrower_id: r for r in read_features(spark, "cycle_features").collect()}
+    assert set(rows) == {"b1", "b2", "b3"} and rows["b2"].risk_flag is not None
+    full_refresh(messages(spark, both), tables, "2024-05-03", view="cycle_features")
+    assert read_features(spark, "cycle_features").count() == 2

@@ -26,14 +26,14 @@ def on_date(table: DataFrame, date: Column | str) -> DataFrame:
 
 
 def in_lookback(classified: DataFrame, as_of: Column | str, days: int | None = LOOKBACK_DAYS) -> DataFrame:
-    """Rows dated ``days`` before ``as_of`` or later; ``None`` keeps the whole history."""
+    """Rows dated from ``days`` before ``as_of`` up to ``as_of``; ``None`` keeps the whole history."""
     if days is None:
         return classified
     anchor = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
     first = F.date_sub(anchor, days)
     if "txn_period" in classified.columns:
-        classified = classified.where(F.col("txn_period") >= period_of(first))
-    return classified.where(F.col("txn_date") >= first)
+        classified = classified.where(F.col("txn_period").between(period_of(first), period_of(anchor)))
+    return classified.where(F.col("txn_date").between(first, anchor))
 
 
 def has(*labels: str) -> Column:

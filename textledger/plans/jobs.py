@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,10 @@ from ..operators.features import borrower_features, on_date, upsert_features
 from ..operators.merge import empty_features, merge_features
 from ..rules import DEFAULT_RULES, RuleSet
 from ..sources.messages import classify_increment, land_raw, read_raw
-from ..sources.sinks import publish_snapshot, read_classified, replace_classified, write_features
+from ..sources.sinks import publish_snapshot, read_classified, replace_classified, replace_markers, table_suffix
+
+
+VIEW = "borrower_sms_features"
 
 
 @dataclass(frozen=True)
@@ -53,19 +57,24 @@ def full_refresh(
     as_of: str | None = None,
     lookback_days: int | None = None,
     rules: RuleSet = DEFAULT_RULES,
+    view: str = VIEW,
 ) -> Outcome:
     """Replace all tables from raw input and return counts and the summary reports.
 
     Every step reads the table the step before wrote, so no step computes another's
-    work again.  ``lookback_days=None`` takes the whole history.
+    work again.  ``lookback_days=None`` takes the whole history.  All landed messages
+    are marked as looked at, so that daily runs do not bring back removed duplicates; the
+    features become a new version behind ``view``, which daily runs merge into.
     """
     spark = messages.sparkSession
     counts = {"raw": land_raw(messages, tables.raw, run_id, mode="overwrite")}
     step = classify_deduplicated if dedup else classify
     counts["kept"] = replace_classified(step(read_raw(spark, tables.raw), rules), tables.classified)
     classified = read_classified(spark, tables.classified)
-    counts["borrowers"] = write_features(borrower_features(classified, as_of, lookback_days), tables.features)
-    features = spark.read.parquet(tables.features)
+    replace_markers(read_raw(spark, tables.raw), tables.markers)
+    _publish(borrower_features(classified, as_of, lookback_days), tables, view, run_id)
+    features = spark.table(view)
+    counts["borrowers"] = features.count()
     return Outcome(
         counts,
         {
@@ -83,7 +92,7 @@ def daily_run(
     tables: Tables,
     run_id: str,
     run_date: str,
-    view: str = "borrower_sms_features",
+    view: str = VIEW,
     expected: DataFrame | None = None,
     rules: RuleSet = DEFAULT_RULES,
 ) -> Outcome:
@@ -98,7 +107,7 @@ def daily_run(
     classified = read_classified(spark, tables.classified)
     known = spark.table(view) if spark.catalog.tableExists(view) else empty_features(spark)
     merged = merge_features(known, upsert_features(classified, run_date))
-    publish_snapshot(merged, view, run_id, f"{tables.features}/{run_id}")
+    _publish(merged, tables, view, run_id)
     checks = {"duplicate_ids": quality.unique_violations(on_date(classified, run_date), "raw_id")}
     if expected is not None:
         actual = quality.daily_counts(classified, run_date).select("borrower_id", F.col("sms_count").alias("actual"))
@@ -106,5 +115,12 @@ def daily_run(
     return Outcome(counts, checks)
 
 
-def read_features(spark: SparkSession, tables: Tables) -> DataFrame:
-    return spark.read.parquet(tables.features)
+def read_features(spark: SparkSession, view: str = VIEW) -> DataFrame:
+    """The version that the last run of either job published."""
+    return spark.table(view)
+
+
+def _publish(features: DataFrame, tables: Tables, view: str, run_id: str) -> None:
+    """Versions stand beside each other and are never overwritten; a repeated run is a version of its own."""
+    version = f"{run_id}-{uuid.uuid4().hex[:8]}"
+    publish_snapshot(features, view, version, f"{tables.features}/{table_suffix(version)}")

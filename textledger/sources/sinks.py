@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -43,6 +44,12 @@ def read_markers(spark: SparkSession, path: str) -> DataFrame:
     return _read_or_empty(spark, path, T.StructType([*MARKERS, PERIOD]))
 
 
+def replace_markers(raw: DataFrame, path: str) -> None:
+    """Full refresh of the marker table: every landed message counts as looked at."""
+    marks = by_period(raw.select("raw_id", "txn_date").distinct())
+    marks.write.mode("overwrite").partitionBy("txn_period").parquet(path)
+
+
 def write_counted(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Write and return the number of rows, in one pass.
 
@@ -73,18 +80,24 @@ def write_features(features: DataFrame, path: str) -> int:
 
 def write_features_jdbc(features: DataFrame, url: str, table: str, partitions: int = 16, batch_size: int = 1000, **options: str) -> None:
     """Full refresh over JDBC, truncating first; the driver jar and credentials are the caller's."""
-    writer = flatten_for_sink(features).coalesce(partitions).write.mode("overwrite").option("truncate", "true")
+    writer = flatten_for_sink(features).repartition(partitions).write.mode("overwrite").option("truncate", "true")
     writer.option("batchsize", batch_size).options(**options).jdbc(url, table)
 
 
+def table_suffix(version: str) -> str:
+    """``version`` with every character other than an ASCII letter or digit written as its code."""
+    return re.sub(r"[^A-Za-z0-9]", lambda m: f"_{ord(m[0]):x}_", version)
+
+
 def publish_snapshot(features: DataFrame, name: str, version: str, location: str | None = None) -> str:
     """Write a new version of a table and point the view ``name`` at it.
 
     A merge reads the table it replaces, so the result goes to a new table first;
-    readers of the view see the old rows until the switch.
+    readers of the view see the old rows until the switch. Any text is a version: what a
+    table name cannot hold is encoded.
     """
     spark = features.sparkSession
-    table = f"{name}__{version}"
+    table = f"{name}__{table_suffix(version)}"
     writer = features.repartitionByRange("borrower_id").sortWithinPartitions("borrower_id").write.mode("errorifexists")
     if location is not None:
         writer = writer.option("path", location)
