@@ -77,6 +77,12 @@ def test_balances_and_sums(spark):
     assert negative.last_known_balance == Decimal("-4.00")
 
 
+def test_sums_beyond_the_type_of_one_amount(spark):
+    most = "9999999999999.99"
+    got = borrower_features(facts(spark, [("b", [*C, *E], most, None, 0)] * 3)).first()
+    assert got.sum_credit_amount_90d == got.sum_emi_amount_90d == 3 * Decimal(most)
+
+
 def test_lookback(spark):
     rows = facts(spark, [("b", C, "1", None, 90 * DAY), ("b", C, "2", None, 91 * DAY), (None, C, "3", None, 0)])
     assert [r.sum_credit_amount_90d for r in warehouse_features(rows, AS_OF).collect()] == [Decimal("1.00")]

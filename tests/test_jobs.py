@@ -11,7 +11,7 @@ def test_full_refresh_twice(spark, tmp_path):
     assert out.counts == {"raw": 7, "kept": 5, "borrowers": 4}
     got = {name: [tuple(r) for r in df.collect()] for name, df in out.reports.items()}
     assert got["sender_breakdown"] == [("BANK", 4), ("UPI", 1)]
-    assert [r[0] for r in got["top_borrowers"]] == ["def456", "abc123", "jkl", "ghi789"]
+    assert [r[0] for r in got["top_borrowers"]] == ["south2", "north1", "east4", "west3"]
     assert sum(r[1] for r in got["risk_distribution"]) == 4
     again = full_refresh(messages(spark, rows), tables, "r", dedup=False)
     assert again.counts["kept"] == 6
@@ -19,28 +19,28 @@ def test_full_refresh_twice(spark, tmp_path):
 
 def test_daily_runs(spark, tmp_path):
     tables = Tables(str(tmp_path / "t"))
-    expected = spark.createDataFrame([("abc123", 1), ("def456", 9)], "borrower_id string, expected long")
-    day = [m for m in SAMPLES if m[3] < 1700000000000 + 86_400_000]
-    first = daily_run(messages(spark, day), tables, "d1", "2023-11-14", "daily_features", expected)
+    expected = spark.createDataFrame([("north1", 1), ("south2", 9)], "borrower_id string, expected long")
+    day = [m for m in SAMPLES if m[3] < 1688212340000 + 86_400_000]
+    first = daily_run(messages(spark, day), tables, "d1", "2023-07-01", "daily_features", expected)
     assert first.counts == {"raw": 5, "kept": 4}
-    assert {r.borrower_id for r in first.reports["count_discrepancies"].collect()} == {"def456", "ghi789"}
+    assert {r.borrower_id for r in first.reports["count_discrepancies"].collect()} == {"south2", "west3"}
     assert first.reports["duplicate_ids"].first().violations == 0
-    late = [("abc123", "hdfcbk", "Rs.9 credited", 1700000000000 + 86_400_000)]
-    second = daily_run(messages(spark, late), tables, "d2", "2023-11-15", "daily_features")
+    late = [("north1", "hdfcbk", "Rs.9 credited", 1688212340000 + 86_400_000)]
+    second = daily_run(messages(spark, late), tables, "d2", "2023-07-02", "daily_features")
     assert second.counts == {"raw": 1, "kept": 1}
-    row = spark.table("daily_features").where("borrower_id = 'abc123'").first()
-    assert (row.total_financial_sms_90d, int(row.sum_credit_amount_90d)) == (2, 5009)
+    row = spark.table("daily_features").where("borrower_id = 'north1'").first()
+    assert (row.total_financial_sms_90d, int(row.sum_credit_amount_90d)) == (2, 7409)
     assert spark.table("daily_features").count() == 3
 
 
 def test_daily_run_continues_a_refresh(spark, tmp_path):
-    tables, day = Tables(str(tmp_path / "t")), 1700000000000
+    tables, day = Tables(str(tmp_path / "t")), 1688212340000
     both = [("b1", "hdfcbk", "Rs.100 credited to a/c", day), ("b1", "hdfcbk", "Rs.700 credited to a/c", day), ("b2", "hdfcbk", "Rs.50 credited to a/c", day)]
     for run in ("2024-05-01", "2024-05-01"):  # a refresh may run again
         out = full_refresh(messages(spark, both), tables, run, view="cycle_features")
         assert out.counts == {"raw": 3, "kept": 2, "borrowers": 2}
     fresh = [("b3", "hdfcbk", "Rs.9 credited to a/c", day + 1000)]
-    second = daily_run(messages(spark, fresh), tables, "2024-05-02", "2023-11-14", "cycle_features")
+    second = daily_run(messages(spark, fresh), tables, "2024-05-02", "2023-07-01", "cycle_features")
     assert second.counts == {"raw": 1, "kept": 1}  # the duplicate of b1 does not come back
     rows = {r.borrower_id: r for r in read_features(spark, "cycle_features").collect()}
     assert set(rows) == {"b1", "b2", "b3"} and rows["b2"].risk_flag is not None

@@ -19,7 +19,7 @@ def test_csv_with_quotes_line_breaks_and_digit_senders(spark, tmp_path):
     file = tmp_path / "in.csv"
     file.write_text(
         "customer_id,hash,sms_sender,sms_body,inbox_time_in_millis\n"
-        'a,h,620016,"line one\nline ""two"" ₹5",1700000000000\n'
+        'a,h,620016,"line one\nline ""two"" ₹5",1688212340000\n'
         "b,h,,plain,\n"
         "c,h,hdfcbk,bad,notanumber\n"
     )
@@ -37,8 +37,8 @@ def test_landing_keeps_sender_and_tag_and_counts(spark, tmp_path):
     raw = read_raw(spark, path)
     assert raw.count() == 7
     row = raw.where("pipeline_run_id = 'r2'").first()
-    assert (row.sms_sender, row.sender_tag, str(row.txn_date), str(row.txn_period)) == ("hdfcbk", "BANK", "2023-11-14", "2023-11-01")
-    plan = pending(raw, "2023-11-14")._jdf.queryExecution().executedPlan().toString()
+    assert (row.sms_sender, row.sender_tag, str(row.txn_date), str(row.txn_period)) == ("hdfcbk", "BANK", "2023-07-01", "2023-07-01")
+    plan = pending(raw, "2023-07-01")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(txn_period" in plan and "DataFilters: [isnotnull(txn_date" in plan
     fixed = landed(messages(spark, SAMPLES), "r", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     assert fixed.select("collected_at").distinct().count() == 1
@@ -47,13 +47,13 @@ def test_landing_keeps_sender_and_tag_and_counts(spark, tmp_path):
 def test_increment_adds_nothing_twice(spark, tmp_path):
     raw, done, marks = (str(tmp_path / n) for n in ("raw", "classified", "marks"))
     land_raw(messages(spark, [*SAMPLES, SAMPLES[0]]), raw, "r1")
-    assert classify_increment(spark, raw, done, marks, "2023-11-14") == 4
-    assert classify_increment(spark, raw, done, marks, "2023-11-14") == 0
-    assert pending(read_raw(spark, raw), "2023-11-14", read_markers(spark, marks)).count() == 0  # rejected ones too
-    late = [("z", "hdfcbk", "Rs.1 debited", 1700000009000)]
+    assert classify_increment(spark, raw, done, marks, "2023-07-01") == 4
+    assert classify_increment(spark, raw, done, marks, "2023-07-01") == 0
+    assert pending(read_raw(spark, raw), "2023-07-01", read_markers(spark, marks)).count() == 0  # rejected ones too
+    late = [("z", "hdfcbk", "Rs.1 debited", 1688212349000)]
     land_raw(messages(spark, late), raw, "r2")
-    assert classify_increment(spark, raw, done, marks, "2023-11-14") == 1
-    assert classify_increment(spark, raw, done, marks, "2026-03-01") == 1
+    assert classify_increment(spark, raw, done, marks, "2023-07-01") == 1
+    assert classify_increment(spark, raw, done, marks, "2024-07-01") == 1
     got = read_classified(spark, done)
     assert got.count() == 6 and got.select("raw_id").distinct().count() == 6
 
@@ -61,8 +61,8 @@ def test_increment_adds_nothing_twice(spark, tmp_path):
 def test_increment_after_a_crash_before_the_marker(spark, tmp_path):
     raw, done, marks = (str(tmp_path / n) for n in ("raw", "classified", "marks"))
     land_raw(messages(spark, SAMPLES), raw, "r1")
-    append_classified(classify(read_raw(spark, raw).where("txn_date = '2023-11-14'")), done)
-    assert classify_increment(spark, raw, done, marks, "2023-11-14") == 0
+    append_classified(classify(read_raw(spark, raw).where("txn_date = '2023-07-01'")), done)
+    assert classify_increment(spark, raw, done, marks, "2023-07-01") == 0
     assert read_classified(spark, done).count() == 4
 
 

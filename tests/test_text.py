@@ -55,7 +55,7 @@ def test_sanitize_order_and_handles(column):
         "a.b@mail.example": "XXXX@upi.example",
         "a@b.c@d": "XXXX@upiXXXX@upi",
         "no digits": "no digits",
-        "Ref: 123456789": "Ref: XXXXX6789",
+        "Ref: 557710342": "Ref: XXXXX0342",
         None: None,
     }
     assert column(sanitize_body, list(cases)) == list(cases.values())
@@ -72,6 +72,8 @@ def test_amount(column):
     cases = {
         "INR 1,23,456.78": Decimal("123456.78"),
         "₹ 2000": Decimal("2000"),
+        "Rs\u00a0640 paid": Decimal("640"),
+        "amount:\u202f75": Decimal("75"),
         "Rs1500": Decimal("1500"),
         "500 rs": Decimal("500"),
         "no money": None,
@@ -122,12 +124,12 @@ def test_noise(column):
 
 
 def test_time_parts_do_not_depend_on_the_zone(spark):
-    rows = [(1700000000000,), (1772368397961,), (0,), (None,), (-1,), (2**62,), (86399999,), (951782400000,)]
+    rows = [(1688212340000,), (1719835000123,), (0,), (None,), (-1,), (2**62,), (86399999,), (951782400000,)]
     df = spark.createDataFrame(rows, "ms long")
     got = df.select("ms", *[v.alias(k) for k, v in time_parts(F.col("ms")).items()]).collect()
     parts = {r.ms: (r.txn_year, r.txn_month, str(r.txn_date), r.txn_hour) for r in got}
-    assert parts[1700000000000] == (2023, 11, "2023-11-14", 22)
-    assert parts[1772368397961] == (2026, 3, "2026-03-01", 12)
+    assert parts[1688212340000] == (2023, 7, "2023-07-01", 11)
+    assert parts[1719835000123] == (2024, 7, "2024-07-01", 11)
     assert parts[-1] == (1969, 12, "1969-12-31", 23)
     assert parts[86399999] == (1970, 1, "1970-01-01", 23)
     assert parts[951782400000] == (2000, 2, "2000-02-29", 0)

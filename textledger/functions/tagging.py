@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..rules import DEFAULT_RULES, OTHER, RuleSet, shortest_keys
+from ..rules import DEFAULT_RULES, OTHER, RuleSet, keyword_tag, shortest_keys
 
 # All characters that count as white space at the ends of a sender.
 WHITE_SPACE = (
@@ -41,8 +41,10 @@ def sender_tag(key: Column, rules: RuleSet = DEFAULT_RULES) -> Column:
     The key is used in every branch, so it should be pinned or a plain column.
     """
     tag = F.when(key == "", OTHER)
-    for name, headers in rules.sender_exceptions.items():
-        tag = tag.when(key.isin(*headers), name)
+    for name, headers in rules.sender_headers.items():
+        # Headers that these keywords tag right anyway need no test.
+        needed = [h for h in headers if keyword_tag(h, rules.sender_keywords) != name]
+        tag = tag.when(key.isin(*needed), name) if needed else tag
     for name, keywords in rules.sender_keywords.items():
         # On a text this short one alternation costs no more than its keywords one by one,
         # and keeps the generated method small enough for the JIT.

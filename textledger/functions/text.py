@@ -54,9 +54,13 @@ def sanitize_body(body: Column, otp_first: bool = False) -> Column:
 
 
 def _first_money(body: Column, patterns: Iterable[str]) -> Column:
-    """First pattern whose first match is a number.  A capture of commas only falls to the next pattern."""
+    """First pattern whose first match is a number.  A capture of commas only falls to the next pattern.
+
+    White space of the patterns is any Unicode space, as in masking.
+    """
+    wide = [p.replace(r"[:\s]", f"[:{SPACE}]").replace(r"\s*", f"[{SPACE}]*") for p in patterns]
     tries = [
-        F.replace(F.regexp_extract(body, p, 1), F.lit(","), F.lit("")).try_cast(_MONEY_CAP) for p in patterns
+        F.replace(F.regexp_extract(body, p, 1), F.lit(","), F.lit("")).try_cast(_MONEY_CAP) for p in wide
     ]
     return F.coalesce(*tries).try_cast("decimal(15,2)")
 

@@ -44,7 +44,7 @@ def tag_senders_from(df: DataFrame, dictionary: DataFrame, rules: RuleSet = DEFA
     words = dictionary.select(F.col("sender_key").alias("_known_key"), F.col("tag").alias("_known_tag"))
     keyed = pin(df.drop("sender_tag"), _sender_key=sender_key(F.col(sender)))
     joined = keyed.join(words, F.col("_sender_key") == F.col("_known_key"), "left")
-    fallback = RuleSet(sender_keywords=rules.sender_keywords, sender_exceptions={})
+    fallback = RuleSet(sender_keywords=rules.sender_keywords, sender_headers={})
     found = F.coalesce(F.col("_known_tag"), sender_tag(F.col("_sender_key"), fallback))
     return pin(joined, sender_tag=found).drop("_sender_key", "_known_key", "_known_tag")
 

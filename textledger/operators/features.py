@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import epoch_date, period_of
 from ..functions.keys import DAY_MS
 from ..rules import RISK_CREDIT_DROP, RISK_CUTS, RISK_MAX_LOANS, RISK_POINTS
-from ..schemas import FEATURE_SCHEMA, MONEY
+from ..schemas import FEATURE_SCHEMA, MONEY, MONEY_SUM
 from ..sources.settle import settle
 
 # Borrowers whose latest time is broadcast.  The limit bounds the broadcast; a
@@ -54,7 +54,7 @@ def is_debit() -> Column:
 
 def money_sum(flag: Column | None = None, value: str = "amount") -> Column:
     amount = F.col(value) if flag is None else F.when(flag, F.col(value))
-    return F.coalesce(F.sum(amount), F.lit(0)).cast(MONEY)
+    return F.coalesce(F.sum(amount), F.lit(0)).cast(MONEY_SUM)
 
 
 def latest_known_balance() -> Column:

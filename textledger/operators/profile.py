@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sender_key
 from ..rules import LENDER, PROFILE_RISK_CUTS, RuleSet, DEFAULT_RULES
-from ..schemas import MONEY
+from ..schemas import MONEY_SUM
 from .classify import classify
 from .features import LOOKBACK_DAYS, has, in_lookback, is_credit, is_debit, latest_known_balance, money_sum
 
@@ -68,7 +68,7 @@ def wide_profile(classified: DataFrame, as_of: str, lookback_days: int = LOOKBAC
         money_sum(credit & last30).alias("_recent"),
         money_sum(credit & prior30).alias("_prior"),
     )
-    monthly = lambda name: F.round(F.col(name) * 30 / lookback_days, 2).cast(MONEY)
+    monthly = lambda name: F.round(F.col(name) * 30 / lookback_days, 2).cast(MONEY_SUM)
     recent, prior = F.col("_recent").cast("double"), F.col("_prior").cast("double")
     return profile.withColumns(
         {

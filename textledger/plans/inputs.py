@@ -23,11 +23,11 @@ SENDERS: tuple[str, ...] = (
 # Body shapes; the names in braces are replaced by text made from the row's keys and price.
 FIELDS = ("amt", "more", "grp", "acct", "tail", "ref", "code", "okey")
 BODIES: tuple[str | None, ...] = (
-    "Rs.{amt} credited to A/c XX{tail}. Avl Bal: Rs.{more}",
-    "Your OTP is {code}. Valid for 10 mins.",
-    "EMI of Rs.{amt} debited via NACH from A/c XX{tail}",
-    "Salary of Rs.{amt} credited to your account",
-    "Rs.{amt} paid to liquor store via UPI. Ref: {ref}",
+    "Dear client, Rs.{amt} was credited to A/c XX{tail}, closing balance Rs.{more}",
+    "{code} is the OTP for your sign-in",
+    "NACH debit of Rs.{amt} done for EMI, A/c XX{tail}",
+    "Payroll: salary Rs.{amt} received in A/c {acct}",
+    "Sent to Hilltop liquor by UPI: Rs.{amt}, txn no {ref}",
     "INR {grp} debited from A/c {acct} on 15-Mar. Available balance is ₹{more}",
     "Dear customer, ₹ {grp} spent at POS TXN wine shop. Bal: ₹{more}",
     "Your payment of Rs {amt} failed due to insufficient funds. Ref {ref}",
@@ -53,6 +53,7 @@ BODIES: tuple[str | None, ...] = (
     "लोन: Rs.{amt} debit कार्ड{code} vpa अमित@ybl",
     "ATM withdrawal Rs.{amt} from x{acct}. Avl bal Rs.{more}",
     "Login attempt from new device, code {code}",
+    "Debit of Rs\u00a0{amt} at POS. Bal:\u00a0{more}",
     "",
     None,
 )

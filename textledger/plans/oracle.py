@@ -9,10 +9,10 @@ input are shared.
 from __future__ import annotations
 
 from ..rules import (
-    AMOUNT_PATTERNS, BALANCE_PATTERNS, EXCLUSIONS, LABELS, SENDER_EXCEPTIONS, SENDER_KEYWORDS,
+    AMOUNT_PATTERNS, BALANCE_PATTERNS, EXCLUSIONS, LABELS, SENDER_HEADERS, SENDER_KEYWORDS,
 )
 from .inputs import messages_sql
-from .registry import AS_OF, CUT, LAST_YEAR, LOOKUP_ID
+from .registry import AS_OF, CUT, LAST_YEAR, LOOKUP_ID, OTHER_KEYWORDS
 
 
 def _text(value: str) -> str:
@@ -27,11 +27,11 @@ def _any(column: str, keys) -> str:
     return f"len(list_filter({_list(keys)}, lambda k: contains({column}, k))) > 0"
 
 
-def _tag(key: str, exceptions: bool = True) -> str:
+def _tag(key: str, exceptions: bool = True, keywords=SENDER_KEYWORDS) -> str:
     arms = []
     if exceptions:
-        arms += [f"WHEN list_contains({_list(h)}, {key}) THEN '{t}'" for t, h in SENDER_EXCEPTIONS.items()]
-    arms += [f"WHEN {_any(key, k)} THEN '{t}'" for t, k in SENDER_KEYWORDS.items()]
+        arms += [f"WHEN list_contains({_list(h)}, {key}) THEN '{t}'" for t, h in SENDER_HEADERS.items()]
+    arms += [f"WHEN {_any(key, k)} THEN '{t}'" for t, k in keywords.items()]
     return f"CASE {' '.join(arms)} ELSE 'OTHER' END"
 
 
@@ -44,14 +44,18 @@ def _labels(tag: str, body: str) -> str:
     return f"concat_ws('|', {', '.join(arms)})"
 
 
+_SPACE = r"\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}"
+
+
 def _money(body: str, patterns) -> str:
     found = [
-        f"TRY_CAST(nullif(replace(regexp_extract({body}, {_text('(?i)' + p)}, 1), ',', ''), '') AS DECIMAL(15,2))"
+        f"TRY_CAST(nullif(replace(regexp_extract({body}, {_text('(?i)' + p.replace("[:\\s]", "[:" + _SPACE + "]").replace("\\s*", "[" + _SPACE + "]*"))}, 1), ',', ''), '') AS DECIMAL(15,2))"
         for p in patterns
     ]
     return f"coalesce({', '.join(found)})"
 
 
+_KNOWN = _list(h for headers in SENDER_HEADERS.values() for h in headers)
 WORDS = r"'[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+'"
 
 
@@ -321,6 +325,9 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "sender_normalize": _group("sms_sender, sender_tag", "tagged", TAGGED),
         "sender_dictionary": _group("sender_tag", "tagged", TAGGED),
+        "sender_headers": f"""SELECT sms_sender, {_tag("sms_sender")} AS default_tag,
+            {_tag("sms_sender", keywords=OTHER_KEYWORDS)} AS other_tag, count(*) AS n
+            FROM (SELECT ({_KNOWN})[l_orderkey % len({_KNOWN}) + 1] AS sms_sender FROM lineitem) GROUP BY ALL""",
         "global_exclusion": f"""WITH {MSG} SELECT raw_id, CAST(coalesce(sms_body = '' OR {_any("lower(sms_body)", EXCLUSIONS)}, TRUE)
             AS BIGINT) AS excluded FROM raw""",
         "classify_labels": f"WITH {LABELLED} SELECT raw_id, sender_tag, categories FROM labelled",

@@ -37,6 +37,8 @@ AS_OF = "2001-11-04"  # last ship date in the data: never the wall clock
 CUT = "1999-06-30"  # separates "already processed" from new in the incremental queries
 LOOKUP_ID = "B000005"  # present at every scale
 LAST_YEAR = 365
+#: Keywords with which most headers of the dictionary would have no tag.
+OTHER_KEYWORDS = {"LENDER": ("loan", "emi"), "UPI": ("wallet",)}
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -96,12 +98,23 @@ def sender_normalize(spark, sf_dir):
 
 @query
 def sender_dictionary(spark, sf_dir):
-    rows = [(h, tag) for tag, headers in DEFAULT_RULES.sender_exceptions.items() for h in headers]
+    rows = [(h, tag) for tag, headers in DEFAULT_RULES.sender_headers.items() for h in headers]
     known = spark.createDataFrame(rows, "sender_key string, tag string")
     tagged = tag_senders_from(_raw(spark, sf_dir).select("sms_sender"), known)
     return tagged.groupBy("sender_tag").agg(F.count("*").alias("n"))
 
 
+@query
+def sender_headers(spark, sf_dir):
+    """Every header of the dictionary, dealt over the rows, with the default keywords and with others."""
+    known = [h for headers in DEFAULT_RULES.sender_headers.values() for h in headers]
+    dealt = F.element_at(F.array(*map(F.lit, known)), (F.pmod("l_orderkey", F.lit(len(known))) + 1).cast("int"))
+    lines = read_table(spark, sf_dir, "lineitem").select(dealt.alias("sms_sender"))
+    tagged = tag_senders(lines).withColumnRenamed("sender_tag", "default_tag")
+    both = tag_senders(tagged, RuleSet(sender_keywords=OTHER_KEYWORDS)).withColumnRenamed("sender_tag", "other_tag")
+    return both.groupBy("sms_sender", "default_tag", "other_tag").agg(F.count("*").alias("n"))
+
+
 @query
 def global_exclusion(spark, sf_dir):
     body = F.lower(F.col("sms_body"))

@@ -33,24 +33,37 @@ SENDER_KEYWORDS: dict[str, tuple[str, ...]] = {
     UPI: ("pay", "upi", "wallet", "cash", "money", "gpay", "phone", "razr", "bhim", "payz", "lazy"),
 }
 
-# Sender headers whose tag the keywords above miss or get wrong.  A header such
-# as "hdfcbk", which the keywords already tag BANK, needs no entry.
-SENDER_EXCEPTIONS: dict[str, tuple[str, ...]] = {
-    BANK: tuple(
-        "sbyono boiind iobchn indusb federl rblcrd bandhn bdnsms citibn hsbcin ujjivn equtas equtat kvbupi "
-        "tjsb saraswat cosmos nkgsb cubltd sibsms sbpdcl fedfib ipbmsg nsdlpb".split()
+# Sender headers with a tag of their own; they go before the keywords.
+SENDER_HEADERS: dict[str, tuple[str, ...]] = {
+    BANK: (
+        "sbiinb", "sbibnk", "sbiupi", "sbicrd", "sbipsg", "sbyono", "atmsbi", "cbssbi", "sbi", "pnbsms", "pnb",
+        "canbnk", "boiind", "bobsms", "bobtxn", "bobcrd", "unionb", "centbk", "indbnk", "iobchn", "ucobnk",
+        "hdfcbk", "hdfcbn", "hdfcbank", "icicit", "icicib", "icicio", "icicil", "icici", "kotakb", "kotaka",
+        "axisbk", "axismr", "axisgp", "yesbnk", "indusb", "idfcfb", "fedbnk", "federl", "idbibk", "rblbnk",
+        "rblcrd", "bandhn", "bdnsms", "scbnki", "scbank", "citibn", "dcbbnk", "hsbcin", "dbsbnk",
+        "aubank", "ujjivn", "equtas", "equtat", "finobk", "utkbnk", "kvbank", "kvbupi", "kvgbbk", "tjsb",
+        "saraswat", "sarbnk", "cosmos", "nkgsb", "kblbnk", "kgbank", "jrgbnk", "mahabk", "cubltd", "cubank",
+        "tmbank", "dhanbk", "csbbnk", "sibsms", "ssfbnk", "sbpdcl", "fedfib",
+        "airbnk", "ipbmsg", "nsdlpb", "pytmbk",
     ),
-    UPI: tuple(
-        "airtel phonpe bhrtpe mobikw amazon freecharge pai247 papape inmony inmny atrupe postpe".split()
+    UPI: (
+        "jiopay", "airtel", "paytmb", "gpay", "phonepe", "phonpe", "bhimupi", "bhrtpe", "mobikw", "amazon",
+        "freecharge", "rzrpay", "ipaytm", "pai247", "papape", "inmony", "inmny", "atrupe", "postpe", "payzap",
     ),
-    LENDER: tuple(
-        "hdbfsl bajajf bajajp muthoo mutfcl nirafc nirafn cashe casheb earncl moneyv monvew stashf stshfn "
-        "stasfn smccfl pfiltm afiltm gsfnce 620016 fattak fatak fatakm fatakc mpokkt navi navihq naviln "
-        "navicl zestmn fibe fibetm monedo kissht indifi payltr slncrd smfgfi krrbee krzbee krdbee krbeee "
-        "kretbe dmifnc dmicom dminbf tvscsl tvscss tvscsp herfnc herofi bfdlts bfdlps bfdlmt mafild mafilr "
-        "mafilg vivifi trcred rredee inncrd incred lnplte lenpte lnfrnt onemny istmon istmny housng homecr "
-        "ramfcp rupsml ruptm rpdmny capnow smcoin kcredt lnditt jaifnn bdylon cfltd abfncs iiflfn fimony "
-        "vtraki tblnce snpmnt credin onecrd angone bseltd lzypay lazpay mnytap paysns pcktly pktlyy".split()
+    LENDER: (
+        "hdbfsl", "bajajf", "bajajp", "bajfin", "ltfin", "lntfin", "muthoo", "mutfcl", "kreditb", "nirafc",
+        "nirafn", "cashe", "casheb", "earncl", "moneyv", "monvew", "stashf", "stsfin", "stshfn", "stasfn",
+        "smccfl", "pfiltm", "afiltm", "gsfnce", "620016", "fattak", "fatak", "fatakm", "fatakc", "mpokkt",
+        "navi", "navihq", "naviln", "navicl", "zestmn", "fibe", "fibetm", "monedo", "kissht", "indifi",
+        "lendng", "payltr", "slncrd", "smfgfi",
+        "krrbee", "krzbee", "krdbee", "krbeee", "kredto", "kredbe", "kretbe", "dmifnc", "dmicom", "dminbf",
+        "tvscsl", "tvscss", "tvscsp", "herfnc", "herofi", "hrfinc", "bfdlts", "bfdlps", "bfdlmt", "mafild",
+        "mafilr", "mafilg",
+        "vivifi", "trcred", "rredee", "inncrd", "incred", "lnplte", "lenpte", "lnfrnt", "onemny", "istmon",
+        "istmny", "housng", "homecr", "ramfcp", "rupsml", "ruptm", "rpdmny", "capnow", "smcoin", "kcredt",
+        "lnditt", "jaifnn", "bdylon", "cfltd", "abfncs", "iiflfn", "fimony", "vtraki", "tblnce", "loan12",
+        "snpmnt", "credin", "onecrd", "angone", "bseltd",
+        "lzypay", "lazpay", "mnytap", "paysns", "pcktly", "pktlyy",
     ),
     OTP_SENDER: ("blinkr",),
 }
@@ -200,10 +213,15 @@ def shortest_keys(keys: Iterable[str]) -> tuple[str, ...]:
     return tuple(k for k in unique if not any(o != k and o in k for o in unique))
 
 
+def keyword_tag(key: str, keywords: dict[str, tuple[str, ...]]) -> str:
+    """Tag that the keywords alone give a sender key."""
+    return next((tag for tag, words in keywords.items() if any(w in key for w in words)), OTHER)
+
+
 @dataclass(frozen=True)
 class RuleSet:
     sender_keywords: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(SENDER_KEYWORDS))
-    sender_exceptions: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(SENDER_EXCEPTIONS))
+    sender_headers: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(SENDER_HEADERS))
     exclusions: tuple[str, ...] = EXCLUSIONS
     labels: tuple[Label, ...] = LABELS
     kept_tags: tuple[str, ...] = FINANCIAL_TAGS

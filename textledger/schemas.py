@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(15, 2)
+# A sum of up to 10**10 such values fits.
+MONEY_SUM = T.DecimalType(25, 2)
 
 RAW_INPUT = T.StructType(
     [
@@ -61,15 +63,15 @@ FEATURES: tuple[tuple[str, T.DataType, int | None], ...] = (
     ("earliest_sms_date", T.DateType(), None),
     ("latest_sms_date", T.DateType(), None),
     ("count_credit_txn_90d", T.LongType(), 0),
-    ("sum_credit_amount_90d", MONEY, 0),
+    ("sum_credit_amount_90d", MONEY_SUM, 0),
     ("max_single_credit_90d", MONEY, 0),
     ("count_salary_credits_90d", T.LongType(), 0),
     ("count_debit_txn_90d", T.LongType(), 0),
-    ("sum_debit_amount_90d", MONEY, 0),
+    ("sum_debit_amount_90d", MONEY_SUM, 0),
     ("count_loan_disbursement_90d", T.LongType(), 0),
-    ("sum_loan_disbursement_amount_90d", MONEY, 0),
+    ("sum_loan_disbursement_amount_90d", MONEY_SUM, 0),
     ("count_emi_payment_90d", T.LongType(), 0),
-    ("sum_emi_amount_90d", MONEY, 0),
+    ("sum_emi_amount_90d", MONEY_SUM, 0),
     ("count_bounce_txn_90d", T.LongType(), 0),
     ("count_loan_reminders_90d", T.LongType(), 0),
     ("last_known_balance", MONEY, None),
