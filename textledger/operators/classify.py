@@ -90,8 +90,8 @@ def classify(raw: DataFrame, rules: RuleSet = DEFAULT_RULES, extra: Sequence[str
     )
 
 
-def classify_deduplicated(raw: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
-    """``classify(dedup_messages(raw))`` with far less to shuffle.
+def classify_deduplicated(raw: DataFrame, rules: RuleSet = DEFAULT_RULES, untimed_by_content: bool = False) -> DataFrame:
+    """``classify(dedup_messages(raw, untimed_by_content))`` with far less to shuffle.
 
     Deduplication must see rejected messages too, as one of them may be the copy
     that survives.  It needs only their key and id, though.  So messages are
@@ -117,7 +117,7 @@ def classify_deduplicated(raw: DataFrame, rules: RuleSet = DEFAULT_RULES) -> Dat
         "raw_id", "borrower_id", "sender_tag", "categories", F.col("_clean").alias("sms_body"), "amount", "balance",
         *[value.alias(name) for name, value in parts.items()], "inbox_time_ms",
     )
-    return dedup_messages(narrow).where(kept)
+    return dedup_messages(narrow, untimed_by_content).where(kept)
 
 
 def collect_records(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +20,11 @@ HOT_BORROWERS = 10_000
 LOOKBACK_DAYS = 90
 
 
-def on_date(table: DataFrame, date: Column | str) -> DataFrame:
-    """Rows of one date; a stored table is also cut to the month's partition."""
+def on_date(table: DataFrame, date: Column | str | None) -> DataFrame:
+    """Rows of one date, ``None`` for those without one; a stored table is also cut to the month's partition."""
+    if date is None:
+        undated = [F.col(c).isNull() for c in ("txn_period", "txn_date") if c in table.columns]
+        return table.where(reduce(and_, undated))
     day = F.lit(date).cast("date") if isinstance(date, str) else date
     if "txn_period" in table.columns:
         table = table.where(F.col("txn_period") == period_of(day))

@@ -78,5 +78,13 @@ def merge_features(features: DataFrame, updates: DataFrame, updated_at: Column |
     )
 
 
+RISK_COLUMNS = ("credit_momentum", "risk_score", "risk_flag")
+
+
+def merge_risk(features: DataFrame, scored: DataFrame) -> DataFrame:
+    """Momentum, score and flag of ``scored``, as ``borrower_features`` gives them, into a feature table."""
+    return upsert(features, scored, "borrower_id", RISK_COLUMNS)
+
+
 def empty_features(spark) -> DataFrame:
     return spark.createDataFrame([], FEATURE_SCHEMA)

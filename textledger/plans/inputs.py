@@ -119,28 +119,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share rows among all cores when the input is too small to be split.
-
-    A small file is a single row group, hence a single task, however many cores
-    there are.  An input with a full-size split for every core is left alone.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * split else df
-
-
-def _bytes(setting: str) -> int:
-    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    text = setting.strip().lower().rstrip("b") or "0"
-    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
-
-
 def sms_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Derived raw input (see :data:`textledger.schemas.RAW_INPUT`)."""
-    return derive_messages(spread(read_table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)))
+    return derive_messages(read_table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS))
 
 
 def derive_messages(lines: DataFrame) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from ..operators import quality, reports
 from ..operators.classify import classify_deduplicated, classify
-from ..operators.features import borrower_features, on_date, upsert_features
-from ..operators.merge import empty_features, merge_features
+from ..operators.features import LOOKBACK_DAYS, borrower_features, on_date, upsert_features
+from ..operators.merge import empty_features, merge_features, merge_risk
 from ..rules import DEFAULT_RULES, RuleSet
-from ..sources.messages import classify_increment, land_raw, read_raw
+from ..sources.messages import classify_increment, land_once, land_raw, read_raw
 from ..sources.sinks import publish_snapshot, read_classified, replace_classified, replace_markers, table_suffix
 
 
@@ -68,8 +68,9 @@ def full_refresh(
     """
     spark = messages.sparkSession
     counts = {"raw": land_raw(messages, tables.raw, run_id, mode="overwrite")}
-    step = classify_deduplicated if dedup else classify
-    counts["kept"] = replace_classified(step(read_raw(spark, tables.raw), rules), tables.classified)
+    raw = read_raw(spark, tables.raw)
+    labelled = classify_deduplicated(raw, rules, untimed_by_content=True) if dedup else classify(raw, rules)
+    counts["kept"] = replace_classified(labelled, tables.classified)
     classified = read_classified(spark, tables.classified)
     replace_markers(read_raw(spark, tables.raw), tables.markers)
     _publish(borrower_features(classified, as_of, lookback_days), tables, view, run_id)
@@ -96,18 +97,24 @@ def daily_run(
     expected: DataFrame | None = None,
     rules: RuleSet = DEFAULT_RULES,
 ) -> Outcome:
-    """Land a day's messages, classify what is new, merge the measures, check the counts.
+    """Land a day's messages, classify what is new, merge the measures and the risk, check the counts.
+
+    A run may be repeated: its messages are landed once. Messages without a date are classified by every
+    run. Borrowers with messages in the lookback get new measures, momentum, score and flag; the others, and the
+    remaining columns, keep what the last full refresh gave.
 
     ``expected (borrower_id, expected)`` holds the counts the devices announced for
     the date.  The merged features become a new version behind ``view``.
     """
     spark = messages.sparkSession
-    counts = {"raw": land_raw(messages, tables.raw, run_id)}
-    counts["kept"] = classify_increment(spark, tables.raw, tables.classified, tables.markers, run_date, rules)
+    counts = {"raw": land_once(messages, tables.raw, run_id)}
+    counts["kept"] = sum(
+        classify_increment(spark, tables.raw, tables.classified, tables.markers, day, rules) for day in (run_date, None)
+    )
     classified = read_classified(spark, tables.classified)
     known = spark.table(view) if spark.catalog.tableExists(view) else empty_features(spark)
     merged = merge_features(known, upsert_features(classified, run_date))
-    _publish(merged, tables, view, run_id)
+    _publish(merge_risk(merged, borrower_features(classified, run_date, LOOKBACK_DAYS)), tables, view, run_id)
     checks = {"duplicate_ids": quality.unique_violations(on_date(classified, run_date), "raw_id")}
     if expected is not None:
         actual = quality.daily_counts(classified, run_date).select("borrower_id", F.col("sms_count").alias("actual"))

@@ -12,7 +12,7 @@ from ..rules import (
     AMOUNT_PATTERNS, BALANCE_PATTERNS, EXCLUSIONS, LABELS, SENDER_HEADERS, SENDER_KEYWORDS,
 )
 from .inputs import messages_sql
-from .registry import AS_OF, CUT, LAST_YEAR, LOOKUP_ID, OTHER_KEYWORDS
+from .registry import AS_OF, CUT, LAST_YEAR, LOOKUP_ID, OTHER_KEYWORDS, RUN_DATE, STAMPS
 
 
 def _text(value: str) -> str:
@@ -457,12 +457,60 @@ def oracle_sql() -> dict[str, str]:
             FROM classified GROUP BY 1, 2, 3""",
     }
     sql["stream_classify"] = sql["classified"]
+    past = f"{_lookback(90, CUT)} AND txn_date <= DATE '{CUT}'"
+    sql |= {
+        "features_90d_past": f"WITH {CLASSIFIED}, {_features(past)} SELECT {_out(WAREHOUSE_COLUMNS)} FROM features",
+        "profile_wide_past": sql["profile_wide"].replace(
+            _lookback(LAST_YEAR), f"{_lookback(LAST_YEAR)} AND txn_date <= DATE '{AS_OF}'").replace(AS_OF, CUT),
+        "landed_deduplicated": f"""WITH {_deduplicated(TAGGED, untimed_by_content=True)},
+            keyed AS (SELECT *, sha256(concat_ws(chr(31), coalesce(borrower_id, chr(30)), coalesce(sms_body, chr(30)),
+              coalesce(CAST(inbox_time_ms AS VARCHAR), chr(30)))) AS dedup_key FROM tagged)
+            SELECT CAST(txn_date AS VARCHAR) AS txn_date, sender_tag, count(*) AS n, count(DISTINCT dedup_key) AS keys,
+              min(dedup_key) AS first_key, (SELECT count(*) FROM keyed) AS rows_landed FROM keyed GROUP BY txn_date, sender_tag""",
+        "external_table": f"""WITH {LABELLED} SELECT raw_id, '["' || replace(categories, '|', '","') || '"]' AS categories,
+            CAST(txn_date AS VARCHAR) AS txn_date FROM labelled""",
+        "stamped_upsert": f"""WITH {CLASSIFIED},
+            f AS (SELECT DISTINCT borrower_id FROM classified WHERE borrower_id IS NOT NULL AND {past}),
+            u AS (SELECT DISTINCT borrower_id FROM classified WHERE borrower_id IS NOT NULL AND {_lookback(90)})
+            SELECT borrower_id, CASE WHEN borrower_id IN (SELECT borrower_id FROM u) THEN '{STAMPS[1]}' ELSE '{STAMPS[0]}' END
+              AS last_updated FROM (SELECT * FROM f UNION SELECT * FROM u)""",
+        "daily_counts_on_date": f"""WITH {LABELLED} SELECT borrower_id, CAST(txn_date AS VARCHAR) AS txn_date, count(*) AS sms_count
+            FROM labelled WHERE borrower_id IS NOT NULL AND txn_date = DATE '{RUN_DATE}' GROUP BY borrower_id, txn_date""",
+        "job_full_refresh": f"""WITH {_deduplicated(CLASSIFIED, untimed_by_content=True)}, {_features(everything)}
+            SELECT {_out(LOCAL_COLUMNS)} FROM features""",
+        "job_daily_after_refresh": _daily_after_refresh(),
+        "stream_dedup_whole": f"""{sql["stream_dedup"]} UNION ALL SELECT customer_id, inbox_time_in_millis FROM msg
+            WHERE inbox_time_in_millis IS NULL OR inbox_time_in_millis = 0""",
+        "stream_land": f"""WITH {TAGGED} SELECT CAST(txn_date AS VARCHAR) AS txn_date, sender_tag,
+            'run-1' AS pipeline_run_id, count(*) AS n FROM tagged GROUP BY txn_date, sender_tag""",
+    }
     return sql
 
 
-def _deduplicated(ctes: str) -> str:
+def _daily_after_refresh() -> str:
+    """Features of the refresh; borrowers in the lookback of the day take its measures and risk."""
+    rows = f""", survivors AS (
+      SELECT * FROM (SELECT * FROM raw WHERE txn_date IS NULL OR txn_date < DATE '{RUN_DATE}'
+                     QUALIFY row_number() OVER (PARTITION BY borrower_id, inbox_time_ms,
+                       CASE WHEN inbox_time_ms IS NULL THEN raw_id END ORDER BY raw_id) = 1)
+      UNION ALL SELECT DISTINCT * FROM raw WHERE txn_date = DATE '{RUN_DATE}')"""
+    ctes = MSG + rows + CLASSIFIED[len(MSG):].replace("FROM raw)", "FROM survivors)")
+    before = f"(raw_date IS NULL OR raw_date < DATE '{RUN_DATE}')"
+    narrow = _NARROW.format(where=_lookback(90, RUN_DATE))
+    risk = ("credit_momentum", "risk_score", "risk_flag")
+    picked = [f"CASE WHEN u.borrower_id IS NOT NULL THEN u.{c} ELSE f.{c} END AS {c}" for c in UPSERT_COLUMNS.split()[1:]]
+    picked += [f"CASE WHEN r.borrower_id IS NOT NULL THEN r.{c} ELSE f.{c} END AS {c}" for c in risk]
+    merged = f"""SELECT coalesce(f.borrower_id, u.borrower_id) AS borrower_id, {", ".join(picked)}
+        FROM (WITH {_features(before)} SELECT * FROM features) f
+        FULL OUTER JOIN ({narrow}) u ON f.borrower_id = u.borrower_id
+        LEFT JOIN (WITH {_features(_lookback(90, RUN_DATE))} SELECT * FROM features) r ON r.borrower_id = coalesce(f.borrower_id, u.borrower_id)"""
+    return f"WITH {ctes} SELECT {_out(' '.join((UPSERT_COLUMNS, *risk)))} FROM ({merged})"
+
+
+def _deduplicated(ctes: str, untimed_by_content: bool = False) -> str:
     """The same CTEs over the survivors of deduplication by (borrower, millisecond)."""
-    survivors = """, survivors AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY borrower_id, inbox_time_ms
+    content = ", CASE WHEN inbox_time_ms IS NULL THEN raw_id END" if untimed_by_content else ""
+    survivors = f""", survivors AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY borrower_id, inbox_time_ms{content}
         ORDER BY raw_id) = 1)"""
     head, tail = MSG, ctes[len(MSG):]
     return head + survivors + tail.replace("FROM raw)", "FROM survivors)")

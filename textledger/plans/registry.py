@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import (
-    content_key, extract_amount, extract_balance, hash_identifier, is_noise, mask_accounts, sanitize_body, time_parts,
+    epoch_date, content_key, extract_amount, extract_balance, hash_identifier, is_noise, mask_accounts, sanitize_body, time_parts,
 )
 from ..operators import quality, reports
 from ..operators.classify import (
@@ -20,21 +21,28 @@ from ..operators.features import (
     borrower_features, borrower_totals, credit_momentum, in_lookback, latest_balance, lookup, upsert_features,
     warehouse_features,
 )
-from ..operators.merge import merge_features, not_yet_processed
+from ..operators.merge import empty_features, merge_features, not_yet_processed
 from ..operators.profile import profile_input, score_profile, wide_profile
 from ..rules import DEFAULT_RULES, RuleSet
 from ..sources.messages import classify_increment, land_raw, read_messages_csv, read_raw
 from ..sources.settle import fresh_path, settle
-from ..sources.sinks import flatten_for_sink, parse_categories, read_classified, replace_classified, write_features
+from ..sources.sinks import (
+    create_external_table, flatten_for_sink, parse_categories, publish_snapshot, read_classified, replace_classified,
+    write_features,
+)
 from ..streaming.jobs import (
-    classify_stream, daily_counts_stream, dedup_stream, drain_batches, drain_to_parquet, refresh_features,
+    classify_stream, daily_counts_stream, dedup_stream, drain_batches, drain_to_parquet, land_stream,
+    refresh_features,
 )
 from .inputs import LINE_COLUMNS, derive_messages, read_table, sms_input
+from .jobs import Tables, daily_run, full_refresh, read_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2001-11-04"  # last ship date in the data: never the wall clock
 CUT = "1999-06-30"  # separates "already processed" from new in the incremental queries
+RUN_DATE = "2000-01-05"  # day of the daily run that follows a refresh
+STAMPS = ("1999-06-30 06:00:00", "2001-11-04 06:00:00")  # of a table and of what is merged into it
 LOOKUP_ID = "B000005"  # present at every scale
 LAST_YEAR = 365
 #: Keywords with which most headers of the dictionary would have no tag.
@@ -87,6 +95,11 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(_classified(spark, sf_dir).select(*FACT_COLUMNS), "facts")
 
 
+def _own_name(name: str) -> str:
+    """A table name of this call alone."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 # --- senders, noise, labels -------------------------------------------------
 
 
@@ -266,6 +279,26 @@ def landed_by_date(spark, sf_dir):
     return counts.withColumn("rows_landed", F.lit(landed).cast("bigint"))
 
 
+@query
+def landed_deduplicated(spark, sf_dir):
+    """The raw table of a full refresh: one row per (borrower, millisecond), with content keys."""
+    path = fresh_path(spark, "raw")
+    written = land_raw(sms_input(spark, sf_dir), path, "run-1", mode="overwrite", dedup=True)
+    counts = read_raw(spark, path).groupBy("txn_date", "sender_tag").agg(
+        F.count("*").alias("n"), F.count_distinct("dedup_key").alias("keys"), F.min("dedup_key").alias("first_key")
+    )
+    return counts.withColumn("rows_landed", F.lit(written).cast("bigint"))
+
+
+@query
+def external_table(spark, sf_dir):
+    """Labelled messages as a flat table over Parquet files, read back by name."""
+    name = _own_name("labelled_messages")
+    rows = label_messages(_raw(spark, sf_dir)).select("raw_id", "categories", "txn_date")
+    create_external_table(rows, name, fresh_path(spark, "external"))
+    return spark.table(name)
+
+
 @query
 def incremental_unclassified(spark, sf_dir):
     raw = _raw(spark, sf_dir)
@@ -313,6 +346,12 @@ def features_90d(spark, sf_dir):
     return warehouse_features(_classified(spark, sf_dir), AS_OF)
 
 
+@query
+def features_90d_past(spark, sf_dir):
+    """As of a date in the middle of the data: later messages have no part in it."""
+    return warehouse_features(_classified(spark, sf_dir), CUT)
+
+
 @query
 def features_ddl(spark, sf_dir):
     """The whole feature table, 90-day lookback."""
@@ -382,6 +421,22 @@ def profile_wide(spark, sf_dir):
     return score_profile(wide_profile(rows, AS_OF, LAST_YEAR)).drop("risk_score", "risk_flag")
 
 
+@query
+def stamped_upsert(spark, sf_dir):
+    """Which rows a merge touched, by their time of update."""
+    before, after = (F.lit(t).cast("timestamp") for t in STAMPS)
+    facts = _facts(spark, sf_dir)
+    stored = _features_at_cut(facts).withColumn("last_updated", before)
+    merged = merge_features(stored, upsert_features(facts, AS_OF), updated_at=after)
+    return merged.select("borrower_id", F.col("last_updated").cast("string").alias("last_updated"))
+
+
+@query
+def profile_wide_past(spark, sf_dir):
+    rows = profile_input(_raw(spark, sf_dir))
+    return score_profile(wide_profile(rows, CUT, LAST_YEAR)).drop("risk_score", "risk_flag")
+
+
 @query
 def profile_risk(spark, sf_dir):
     rows = profile_input(_raw(spark, sf_dir))
@@ -407,6 +462,11 @@ def daily_message_counts(spark, sf_dir):
     return quality.daily_counts(label_messages(_raw(spark, sf_dir)))
 
 
+@query
+def daily_counts_on_date(spark, sf_dir):
+    return quality.daily_counts(label_messages(_raw(spark, sf_dir)), RUN_DATE)
+
+
 @query
 def count_reconcile(spark, sf_dir):
     """Messages with a time on the device, against deduplicated messages of any time."""
@@ -450,14 +510,43 @@ def constraint_violations(spark, sf_dir):
     )
 
 
+# --- whole jobs ---------------------------------------------------------------
+
+
+@query
+def job_full_refresh(spark, sf_dir):
+    """The feature view after two full refreshes under one run id."""
+    tables, view = Tables(fresh_path(spark, "job")), _own_name("job_features")
+    for _ in range(2):
+        full_refresh(sms_input(spark, sf_dir), tables, "2024-05-01", view=view)
+    return read_features(spark, view).select(
+        "borrower_id", "total_financial_sms_90d", "count_credit_txn_90d", "sum_credit_amount_90d",
+        "count_debit_txn_90d", "sum_debit_amount_90d", "count_loan_disbursement_90d", "count_emi_payment_90d",
+        "sum_emi_amount_90d", "count_bounce_txn_90d", "latest_sms_date", "last_known_balance", "credit_momentum",
+        "risk_score", "risk_flag",
+    )
+
+
+@query
+def job_daily_after_refresh(spark, sf_dir):
+    """A refresh over the messages before a day and those without one, then that day's run, twice."""
+    tables, view = Tables(fresh_path(spark, "job")), _own_name("job_features")
+    sent, day = sms_input(spark, sf_dir), epoch_date(F.col("inbox_time_in_millis"))
+    full_refresh(sent.where(day.isNull() | (day < F.lit(RUN_DATE).cast("date"))), tables, "2024-05-01", view=view)
+    for _ in range(2):
+        daily_run(sent.where(day == F.lit(RUN_DATE).cast("date")), tables, "2024-05-02", RUN_DATE, view)
+    return read_features(spark, view).select(
+        "borrower_id", "total_financial_sms_90d", "count_credit_txn_90d", "sum_credit_amount_90d",
+        "count_emi_payment_90d", "sum_emi_amount_90d", "count_bounce_txn_90d", "credit_momentum", "risk_score", "risk_flag",
+    )
+
+
 # --- streams, drained to the end -----------------------------------------------
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = read_table(spark, sf_dir, "lineitem").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parquet*").select(*LINE_COLUMNS)
-    # One file is one task; a real inbox arrives as many files.
-    return derive_messages(stream.repartition(spark.sparkContext.defaultParallelism))
+    return derive_messages(spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parquet*").select(*LINE_COLUMNS))
 
 
 @query
@@ -475,6 +564,22 @@ def stream_dedup(spark, sf_dir):
     return spark.read.schema("customer_id string, inbox_time_in_millis bigint").parquet(out)
 
 
+@query
+def stream_dedup_whole(spark, sf_dir):
+    """Deduplication of a stream that keeps messages without a time."""
+    out = fresh_path(spark, "stream")
+    stream = dedup_stream(_message_stream(spark, sf_dir), keep_untimed=True)
+    drain_to_parquet(stream.select("customer_id", "inbox_time_in_millis"), out, fresh_path(spark, "offsets"))
+    return spark.read.schema("customer_id string, inbox_time_in_millis bigint").parquet(out)
+
+
+@query
+def stream_land(spark, sf_dir):
+    path = fresh_path(spark, "raw")
+    land_stream(_message_stream(spark, sf_dir), path, fresh_path(spark, "offsets"), "run-1")
+    return read_raw(spark, path).groupBy("txn_date", "sender_tag", "pipeline_run_id").agg(F.count("*").alias("n"))
+
+
 @query
 def stream_daily_counts(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")
@@ -493,11 +598,8 @@ def stream_daily_counts(spark, sf_dir):
 
 @query
 def stream_feature_refresh(spark, sf_dir):
-    """Classified batches drained into a feature table by merge, one snapshot per batch."""
-    from ..operators.merge import empty_features
-
-    table = fresh_path(spark, "classified")
-    state = {"features": empty_features(spark).drop("last_updated")}
+    """Classified batches drained into a feature table by merge, one published version per batch."""
+    table, versions, view = fresh_path(spark, "classified"), fresh_path(spark, "features"), _own_name("streamed_features")
 
     def land(batch, batch_id):
         # A folder per batch, overwritten: a replayed batch replaces itself.
@@ -505,14 +607,16 @@ def stream_feature_refresh(spark, sf_dir):
         batch.select(*FACT_COLUMNS).write.mode("overwrite").parquet(folder)
         refresh(spark.read.parquet(folder), batch_id)
 
-    def keep(features, batch_id):
-        state["features"] = settle(features, f"features-{batch_id}")
+    def published():  # what a restarted stream finds, too
+        return spark.table(view) if spark.catalog.tableExists(view) else empty_features(spark).drop("last_updated")
 
-    refresh = refresh_features(
-        lambda: spark.read.parquet(table), lambda: state["features"], keep, AS_OF, LAST_YEAR
-    )
+    def publish(features, batch_id):
+        version = f"{batch_id}-{uuid.uuid4().hex[:8]}"
+        publish_snapshot(features, view, version, f"{versions}/{version}")
+
+    refresh = refresh_features(lambda: spark.read.parquet(table), published, publish, AS_OF, LAST_YEAR)
     drain_batches(classify_stream(_message_stream(spark, sf_dir)), land, fresh_path(spark, "offsets"))
-    return state["features"].select(
+    return published().select(
         "borrower_id", "total_financial_sms_90d", "count_credit_txn_90d", "sum_credit_amount_90d",
         "count_emi_payment_90d", "sum_emi_amount_90d", "count_bounce_txn_90d", "count_debit_txn_90d", "risk_flag",
     )

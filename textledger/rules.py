@@ -231,15 +231,15 @@ class RuleSet:
         return replace(self, labels=tuple(labels))
 
     @classmethod
-    def from_table(cls, rules: DataFrame, base: RuleSet | None = None) -> RuleSet:
+    def from_table(cls, rules: DataFrame, base: RuleSet | None = None, max_rows: int = MAX_RULE_ROWS) -> RuleSet:
         """Labels from a rule table ``(label, tags array, keyword, kind include|exclude)``.
 
-        Rules are configuration, not data: more than ``MAX_RULE_ROWS`` rows is an
+        Rules are configuration, not data: more than ``max_rows`` rows is an
         error, so the driver never holds an unbounded result.
         """
-        rows = rules.select("label", "tags", "keyword", "kind").limit(MAX_RULE_ROWS + 1).collect()
-        if len(rows) > MAX_RULE_ROWS:
-            raise ValueError(f"a rule table may hold at most {MAX_RULE_ROWS} rows")
+        rows = rules.select("label", "tags", "keyword", "kind").limit(max_rows + 1).collect()
+        if len(rows) > max_rows:
+            raise ValueError(f"a rule table may hold at most {max_rows} rows")
         labels = []
         for name in sorted({r.label for r in rows}):
             mine = [r for r in rows if r.label == name]

@@ -32,6 +32,7 @@ RAW = T.StructType(
         T.StructField("collected_at", T.TimestampType()),
         T.StructField("pipeline_run_id", T.StringType()),
         T.StructField("txn_date", T.DateType()),
+        T.StructField("dedup_key", T.StringType()),
     ]
 )
 

@@ -11,10 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import period_of
 from ..operators.classify import classify, to_raw
 from ..operators.features import upsert_features
 from ..operators.merge import merge_features
 from ..rules import DEFAULT_RULES, RuleSet
+from ..sources.messages import landed
 
 
 def with_event_time(messages: DataFrame) -> DataFrame:
@@ -27,14 +29,25 @@ def classify_stream(messages: DataFrame, rules: RuleSet = DEFAULT_RULES) -> Data
     return classify(to_raw(messages), rules)
 
 
-def dedup_stream(messages: DataFrame, late: str = "7 days") -> DataFrame:
+def land_stream(messages: DataFrame, path: str, checkpoint: str, run_id: str) -> None:
+    """Land what is available now in the raw table: tag, run id, time of landing, month; each input file once."""
+    rows = landed(messages, run_id)
+    drain_to_parquet(rows.withColumn("txn_period", period_of(F.col("txn_date"))), path, checkpoint, "txn_period")
+
+
+def dedup_stream(messages: DataFrame, late: str = "7 days", keep_untimed: bool = False) -> DataFrame:
     """First message per (borrower, millisecond).
 
+    Messages without a time have no place in a watermark: they are left out, or with ``keep_untimed`` go
+    round the state, copies included.
+
     State is dropped once the watermark has passed it, so it stays bounded; a copy
     that arrives later than that is kept, unlike in batch.
     """
-    timed = with_event_time(messages).where(F.col("event_time").isNotNull())
-    return timed.withWatermark("event_time", late).dropDuplicatesWithinWatermark(["customer_id", "inbox_time_in_millis"])
+    stamped = with_event_time(messages)
+    timed = stamped.where(F.col("event_time").isNotNull())
+    first = timed.withWatermark("event_time", late).dropDuplicatesWithinWatermark(["customer_id", "inbox_time_in_millis"])
+    return first.unionByName(stamped.where(F.col("event_time").isNull())) if keep_untimed else first
 
 
 def daily_counts_stream(events: DataFrame, time: str, key: str, late: str = "1 day") -> DataFrame:
