@@ -14,7 +14,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import id_and_text, whole_text
+from .common import each_text, id_and_text, whole_text
 
 _MASK = (1 << 64) - 1
 _ODD = 0x9E3779B97F4A7C15
@@ -195,7 +195,7 @@ def _over_batches(docs: DataFrame, ranks: dict[bytes, int], pattern: str, one, f
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(PerfectHash.of(table.value), pattern)
         for batch in batches:
-            rows = [one(codec, t) for t in batch.column("text").to_pylist()]
+            rows = [one(codec, t) for t in each_text(batch)]
             columns = list(zip(*rows, strict=True)) if rows else [[] for _ in kinds]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["doc_id", *names])
 

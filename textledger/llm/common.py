@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,11 @@ def whole_text(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def each_text(batch: pa.RecordBatch) -> Iterator[str | None]:
+    """The texts of a batch one by one: a task holds one of them as a Python string, not all."""
+    return (text.as_py() for text in batch.column("text"))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once. A plain column that a lambda reads may be pasted into it, and so be worked out per element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_and_text, whole_text
+from .common import Scratch, each_text, id_and_text, whole_text
 from .components import connected_components
 
 SEED = 42
@@ -46,7 +46,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [simhash(t, width) for t in batch.column("text").to_pylist()]
+            found = [simhash(t, width) for t in each_text(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], names=["doc_id", "fp"])
 
     return id_and_text(docs).select("doc_id", whole_text().alias("text")).mapInArrow(task, "doc_id long, fp long")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, labelled_sample, whole_text
+from .common import each_text, id_and_text, labelled_sample, whole_text
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -158,7 +158,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            scores = [own.score(t) for t in batch.column("text").to_pylist()]
+            scores = [own.score(t) for t in each_text(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     return id_and_text(docs).select("doc_id", whole_text().alias("text")).mapInArrow(task, "doc_id long, score double")
@@ -189,6 +189,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) ->
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            yield batch.filter(pa.array([own.score(t or "") < threshold for t in batch.column("text").to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([own.score(t or "") < threshold for t in each_text(batch)], pa.bool_()))
 
     return docs.mapInArrow(task, docs.schema)
