@@ -33,6 +33,28 @@ def test_daily_runs(spark, tmp_path):
     assert spark.table("daily_features").count() == 3
 
 
+def test_a_repeated_run_lands_once_and_undated_messages_are_classified(spark, tmp_path):
+    tables, day = Tables(str(tmp_path / "t")), 1688212340000
+    full_refresh(messages(spark, [("b1", "hdfcbk", "Rs.100 credited to a/c", day)]), tables, "r1", view="repeat_features")
+    rows = [
+        ("b2", "hdfcbk", "Rs.9 credited to a/c", day), ("b2", "hdfcbk", "Rs.5 credited to a/c", None),
+        ("b2", "hdfcbk", "Rs.7 credited to a/c", None), ("b3", "hdfcbk", "EMI of Rs.50 bounced, debited", day),
+    ]
+    first = daily_run(messages(spark, rows), tables, "2024-05-02", "2023-07-01", "repeat_features")
+    assert first.counts == {"raw": 4, "kept": 4}
+    again = daily_run(messages(spark, rows), tables, "2024-05-02", "2023-07-01", "repeat_features")
+    assert again.counts == {"raw": 4, "kept": 0}
+    assert spark.read.parquet(tables.raw).count() == 5
+    found = {r.borrower_id: r for r in read_features(spark, "repeat_features").collect()}
+    assert set(found) == {"b1", "b2", "b3"} and all(r.risk_flag is not None for r in found.values())
+
+
+def test_refresh_keeps_different_messages_without_a_time(spark, tmp_path):
+    rows = [("b1", "hdfcbk", f"Rs.{n} credited to a/c", None) for n in (5, 7, 7)]
+    out = full_refresh(messages(spark, rows), Tables(str(tmp_path / "t")), "r", view="untimed_features")
+    assert out.counts == {"raw": 3, "kept": 2, "borrowers": 1}
+
+
 def test_daily_run_continues_a_refresh(spark, tmp_path):
     tables, day = Tables(str(tmp_path / "t")), 1688212340000
     both = [("b1", "hdfcbk", "Rs.100 credited to a/c", day), ("b1", "hdfcbk", "Rs.700 credited to a/c", day), ("b2", "hdfcbk", "Rs.50 credited to a/c", day)]

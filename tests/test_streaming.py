@@ -5,9 +5,11 @@ from test_features import AS_OF, C, E, FACTS, facts
 from textledger.operators.classify import classify, to_raw
 from textledger.operators.merge import empty_features
 from textledger.schemas import CLASSIFIED, RAW_INPUT
+from textledger.sources.messages import read_raw
 from textledger.sources.settle import settle
 from textledger.streaming.jobs import (
-    classify_stream, daily_counts_stream, dedup_stream, drain_batches, drain_to_parquet, refresh_features,
+    classify_stream, daily_counts_stream, dedup_stream, drain_batches, drain_to_parquet, land_stream,
+    refresh_features,
 )
 
 DAY = 86_400_000
@@ -38,6 +40,24 @@ def test_stream_dedup_across_batches(spark, tmp_path):
     assert got == [("a", DAY), ("a", DAY + 1)]
 
 
+def test_stream_dedup_can_keep_messages_without_a_time(spark, tmp_path):
+    src, out, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    messages(spark, [("a", "s", "x", DAY), ("a", "s", "y", DAY), ("b", "s", "x", None), ("b", "s", "y", 0)]).write.parquet(src)
+    stream = dedup_stream(spark.readStream.schema(RAW_INPUT).parquet(src), keep_untimed=True)
+    drain_to_parquet(stream.select("customer_id", "inbox_time_in_millis"), out, offsets)
+    assert sorted((r[0], r[1] or 0) for r in spark.read.parquet(out).collect()) == [("a", DAY), ("b", 0), ("b", 0)]
+
+
+def test_landing_a_stream_twice(spark, tmp_path):
+    src, out, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    messages(spark, SAMPLES).write.parquet(src)
+    for run in ("r1", "r2"):
+        land_stream(spark.readStream.schema(RAW_INPUT).parquet(src), out, offsets, run)
+    table = read_raw(spark, out)
+    assert table.count() == len(SAMPLES) and {r[0] for r in table.select("pipeline_run_id").collect()} == {"r1"}
+    assert table.where("dedup_key IS NULL OR sender_tag IS NULL").count() == 0
+
+
 def test_daily_counts_wait_for_the_watermark(spark, tmp_path):
     src, out, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
     rows = [("a", d * DAY + 5) for d in (1, 1, 2, 9)]
