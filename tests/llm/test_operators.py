@@ -376,6 +376,17 @@ def test_near_duplicates(spark, odd, nothing):
     assert simhash_dedup.near_duplicates(nothing).count() == 0 and simhash_dedup.keep_one(nothing).count() == 0
 
 
+def test_keep_one_decides_by_row_where_an_id_repeats(spark):
+    rng = random.Random(12)
+    rows, want = [], []
+    for i in range(0, 60, 3):
+        first, alone, other = (prose(rng, 300) for _ in range(3))
+        # A unique text and a copy of an earlier document under one id; two unrelated texts under another.
+        rows += [(i, first, "s"), (i + 1, alone, "s"), (i + 1, first.upper(), "s"), (i + 2, other, "s"), (i + 2, other[::-1], "s"), (i + 2, other, "s")]
+        want += [(i, first), (i + 1, alone), (i + 2, other), (i + 2, other[::-1])]
+    assert sorted((r.doc_id, r.text) for r in simhash_dedup.keep_one(docs_of(spark, rows)).collect()) == sorted(want)
+
+
 def test_components_of_a_long_chain(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, 1001), (1001, 1000), (7, 7), (None, 3)]
     found = {r.node: r.root for r in connected_components(spark, spark.createDataFrame(chain, "a long, b long")).collect()}

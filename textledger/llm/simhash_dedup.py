@@ -41,15 +41,21 @@ def simhash(text: str, width: int = 3) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; a null text counts as empty and has fingerprint zero."""
+def _fingerprinted(rows: DataFrame, width: int) -> DataFrame:
+    """``rows`` with the fingerprint fp in place of its column text."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [simhash(t, width) for t in each_text(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            others = [name for name in batch.schema.names if name != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in others), pa.array(found, pa.int64())], names=[*others, "fp"])
+
+    return rows.mapInArrow(task, ", ".join([*(f"{name} {kind}" for name, kind in rows.dtypes if name != "text"), "fp long"]))
 
-    return id_and_text(docs).select("doc_id", whole_text().alias("text")).mapInArrow(task, "doc_id long, fp long")
+
+def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
+    """(doc_id, fp) of every row; a null text counts as empty and has fingerprint zero."""
+    return _fingerprinted(id_and_text(docs).select("doc_id", whole_text().alias("text")), width)
 
 
 def _segment(fp: Column, which: int) -> Column:
@@ -98,6 +104,13 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.union(starred)
 
 
+def _rooted(scratch: Scratch, marked: DataFrame, first: Column) -> DataFrame:
+    """(fp, first, root) of each distinct fingerprint of ``marked``: ``first`` over its rows, and the smallest fingerprint reachable."""
+    distinct = scratch.keep(marked.groupBy("fp").agg(first.alias("first")))
+    roots = connected_components(scratch.spark, links(distinct.select("fp")), "simhash-components")
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``.
 
@@ -106,26 +119,32 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     any other. Rows that repeat a doc_id each get a row; a null doc_id takes part, but never names a
     component: component_id is null only where no member has an id. No rows give no rows.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "simhash")
+    scratch = Scratch(docs.sparkSession, "simhash")
     marked = scratch.keep(fingerprints(docs, width))
-    distinct = scratch.keep(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = connected_components(spark, links(distinct.select("fp")), "simhash-components")
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    rooted = _rooted(scratch, marked, F.min("doc_id"))
+    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     groups = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
     return marked.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 
+def _row_key(doc_id: Column, text: Column) -> Column:
+    """One value for doc_id and text together, so that rows meet by one key and are told apart where an id repeats."""
+    return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit("\n"), whole_text(text))))
+
+
 def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, all columns as they are.
+    """One row of each component that has a doc_id, all columns as they are: the one with the smallest doc_id.
 
-    Of rows that repeat such a doc_id, the one with the smallest text stays. A row
-    without doc_id cannot be named and stays.
+    Rows are told apart by doc_id and text, so an id that repeats with other texts loses none of them to another component. Of
+    rows with the smallest id of one component, that with the smallest hash stays; of rows equal in both, any one. A row without doc_id
+    stays.
     """
-    found = near_duplicates(docs, width)
-    ids = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
+    scratch = Scratch(docs.sparkSession, "simhash")
+    rows = id_and_text(docs).select("doc_id", _row_key(F.col("doc_id"), F.col("text")).alias("key"), whole_text().alias("text"))
+    rooted = _rooted(scratch, scratch.keep(_fingerprinted(rows, width)), F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")))
+    chosen = rooted.groupBy("root").agg(F.min("first").alias("first")).where("NOT first.unnamed").select(F.col("first.key").alias("kept"))
     packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    first = F.row_number().over(Window.partitionBy("kept_id").orderBy(F.xxhash64("row.text"), "row.text"))
-    stay = (packed.join(ids, F.col("row.doc_id") == F.col("kept_id")).withColumn("nth", first).where("nth = 1").select("row.*"))
+    keyed = packed.withColumn("key", _row_key(F.col("row.doc_id").cast("long"), F.col("row.text").cast("string")))
+    first = F.row_number().over(Window.partitionBy("key").orderBy("row.text"))
+    stay = keyed.join(chosen, F.col("key") == F.col("kept")).withColumn("nth", first).where("nth = 1").select("row.*")
     return stay.unionByName(packed.where("row.doc_id IS NULL").select("row.*"))
