@@ -55,6 +55,14 @@ def test_one_of_each_group_stays(steps):
     assert sorted(map(tuple, steps[3].collect())) == sorted(tuple(rows[i]) for i in groups)
 
 
+def test_one_of_each_group_stays_without_ids(spark):
+    base = [" ".join(f"{c}{i}" for i in range(400)) for c in "abc"]
+    rows = [(None, base[0]), (None, base[0]), (None, base[0].upper()), (None, base[1]), (7, base[1]), (None, base[2]), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "s", len(t or "")) for i, t in rows], "doc_id long, text string, source string, n_chars long")
+    kept = [(r.doc_id, (r.text or "").lower()) for r in corpus_pipeline.near_deduplication(spark, docs, SF).collect()]
+    assert Counter(kept) == Counter([(None, base[0]), (7, base[1]), (None, base[2]), (None, "")])
+
+
 def test_sources_meet_their_targets(steps):
     sizes, taken, own = defaultdict(int), defaultdict(int), {}
     for r in steps[3].collect():

@@ -132,19 +132,20 @@ def _row_key(doc_id: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit("\n"), whole_text(text))))
 
 
-def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
-    """One row of each component that has a doc_id, all columns as they are: the one with the smallest doc_id.
+def keep_one(docs: DataFrame, width: int = 3, unnamed_stay: bool = True) -> DataFrame:
+    """One row of each component, all columns as they are: the one with the smallest doc_id.
 
     Rows are told apart by doc_id and text, so an id that repeats with other texts loses none of them to another component. Of
-    rows with the smallest id of one component, that with the smallest hash stays; of rows equal in both, any one. A row without doc_id
-    stays.
+    rows with the smallest id of one component, that with the smallest hash stays; of rows equal in both, any one. With ``unnamed_stay`` all rows
+    without doc_id stay; otherwise one of them stands for a component that has no id at all, and the others go like any copy.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = id_and_text(docs).select("doc_id", _row_key(F.col("doc_id"), F.col("text")).alias("key"), whole_text().alias("text"))
     rooted = _rooted(scratch, scratch.keep(_fingerprinted(rows, width)), F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")))
-    chosen = rooted.groupBy("root").agg(F.min("first").alias("first")).where("NOT first.unnamed").select(F.col("first.key").alias("kept"))
+    firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    chosen = (firsts.where("NOT first.unnamed") if unnamed_stay else firsts).select(F.col("first.key").alias("kept"))
     packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
     keyed = packed.withColumn("key", _row_key(F.col("row.doc_id").cast("long"), F.col("row.text").cast("string")))
     first = F.row_number().over(Window.partitionBy("key").orderBy("row.text"))
     stay = keyed.join(chosen, F.col("key") == F.col("kept")).withColumn("nth", first).where("nth = 1").select("row.*")
-    return stay.unionByName(packed.where("row.doc_id IS NULL").select("row.*"))
+    return stay.unionByName(packed.where("row.doc_id IS NULL").select("row.*")) if unnamed_stay else stay
