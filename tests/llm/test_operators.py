@@ -122,6 +122,26 @@ def test_top_k_equals_brute_force(spark):
     assert segment_topk.top_k(segment_topk.vectors(frame.limit(0))).count() == 0
 
 
+def test_top_k_takes_large_components(spark):
+    rng = np.random.default_rng(14)
+    table = {i: [float(x) for x in rng.normal(size=64)] for i in range(300)}
+    for i, size in ((7, 1e6), (50, 1e6), (51, 3e5), (120, -1e6), (130, 1e5)):
+        table[i] = [size] * 64 if i % 2 else [float(x) for x in np.abs(rng.normal(size=64)).clip(0, 1) * size]
+    found = segment_topk.top_k(segment_topk.vectors(spark.createDataFrame(list(table.items()), "vec_id long, embedding array<double>")), blocks=2).collect()
+    whole, want = {i: [math.floor(256 * x) for x in v] for i, v in table.items()}, []
+    for q in range(0, 300, 50):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:5])]
+    assert sorted(map(tuple, found)) == sorted(want)
+
+
+@pytest.mark.parametrize("size", [1e8, 1e300])
+def test_top_k_fails_where_a_score_overflows(spark, size):
+    frame = spark.createDataFrame([(i, [size] * 64) for i in range(3)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit in a long"):
+        segment_topk.top_k(segment_topk.vectors(frame)).collect()
+
+
 def test_bounds_leave_out_no_good_pair_and_prune():
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(8, 64)) * 40

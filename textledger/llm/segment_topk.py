@@ -16,8 +16,8 @@ QUERIES_PER_BLOCK = 4_096
 ROWS_PER_BLOCK = 8_192
 #: So many vectors, in hash order, give each query a first score that its k-th best reaches at least.
 SEEDS = 2_048
-#: Components beyond this could overflow a score; such vectors take no part.
-LARGEST = 2**26
+#: What a score and a component times 256 must stay below; a larger one is an error, as in SQL.
+TOO_LARGE = 2**63
 _TILE = 512
 
 
@@ -42,26 +42,40 @@ def survivors(queries: np.ndarray, rows: np.ndarray, least: np.ndarray) -> tuple
     """
     if not rows.shape[1]:
         return tuple(np.indices((len(queries), len(rows))).reshape(2, -1))
-    slack = 1e-9 * (np.linalg.norm(queries, axis=1).max(initial=0) * np.linalg.norm(rows, axis=1).max(initial=0)) + 1e-6
     levels = [(_segment_features(queries, s), _segment_features(rows, s)) for s in LEVELS]
     n_query, n_row = (queries * queries).sum(axis=1), (rows * rows).sum(axis=1)
+    # Rounding grows with the norms of the pair itself: a long vector leaves the slack of the others as it is.
+    half_query, half_row, least = n_query * (0.5 + _SLACK), n_row * (0.5 + _SLACK), least - _SLACK
     norms = lambda f: (f * f).sum(axis=1)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     for at in range(0, len(queries), _TILE):
         tile = slice(at, at + _TILE)
         fq, fx = levels[0][0][tile], levels[0][1]
         distance = norms(fq)[:, None] + norms(fx)[None, :] - 2 * fq @ fx.T
-        q, x = np.nonzero((n_query[tile, None] + n_row[None, :] - distance) / 2 >= least[tile, None] - slack)
+        q, x = np.nonzero(half_query[tile, None] + half_row[None, :] - distance / 2 >= least[tile, None])
         q += at
         for fq, fx in levels[1:]:
             distance = np.concatenate([((fq[q[i : i + _PAIRS]] - fx[x[i : i + _PAIRS]]) ** 2).sum(axis=1) for i in range(0, len(q), _PAIRS)] or [np.zeros(0)])
-            keep = (n_query[q] + n_row[x] - distance) / 2 >= least[q] - slack
+            keep = half_query[q] + half_row[x] - distance / 2 >= least[q]
             q, x = q[keep], x[keep]
         found.append((q, x))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 _PAIRS = 1 << 18
+_SLACK = 1e-6
+
+
+def _scores(a: np.ndarray, b: np.ndarray, q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact inner products of the pairs. Those that could overflow a long are worked out in Python's integers; one that does is an error."""
+    score = np.concatenate([np.einsum("ij,ij->i", a[q[i : i + _PAIRS]], b[x[i : i + _PAIRS]]) for i in range(0, len(q), _PAIRS)] or [np.zeros(0, np.int64)])
+    most_a, most_b = (np.abs(m.astype(np.float64)).max(axis=1, initial=0) for m in (a, b))
+    for i in np.flatnonzero(most_a[q] * most_b[x] * a.shape[1] >= TOO_LARGE / 2):
+        whole = sum(map(int.__mul__, a[q[i]].tolist(), b[x[i]].tolist()))
+        if abs(whole) >= TOO_LARGE:
+            raise OverflowError(f"a score does not fit in a long: {whole}")
+        score[i] = whole
+    return score
 
 
 def _block(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
@@ -74,7 +88,7 @@ def _block(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
     q, x = survivors(a.astype(np.float64), b.astype(np.float64), least)
     other = q_ids[q] != x_ids[x]
     q, x = q[other], x[other]
-    score = np.concatenate([np.einsum("ij,ij->i", a[q[i : i + _PAIRS]], b[x[i : i + _PAIRS]]) for i in range(0, len(q), _PAIRS)] or [np.zeros(0, np.int64)])
+    score = _scores(a, b, q, x)
     order = np.lexsort((x_ids[x], -score, q))
     q, x, score = q[order], x[order], score[order]
     first = np.searchsorted(q, q)
@@ -83,11 +97,12 @@ def _block(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def vectors(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, v): floor(256 x) of each component x; without vectors that are null, hold null or non-finite
-    components or components beyond ``LARGEST``, and without null ids."""
+    """(vec_id, v): floor(256 x) of each component x; without vectors that are null or hold null or non-finite
+    components, and without null ids. A component that leaves the range of a long is an error."""
     x = embeddings.select(embeddings["vec_id"].cast("long").alias("vec_id"), embeddings["embedding"].cast("array<double>").alias("e"))
-    fine = F.coalesce(F.forall("e", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) * 256 < LARGEST)), F.lit(False))
-    return x.where(F.col("vec_id").isNotNull() & fine).select("vec_id", F.transform("e", lambda c: F.floor(c * 256).cast("long")).alias("v"))
+    fine = F.coalesce(F.forall("e", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))), F.lit(False))
+    whole = lambda c: F.when(F.abs(c * 256) < float(TOO_LARGE), F.floor(c * 256).cast("long")).otherwise(F.raise_error(F.lit("a component times 256 does not fit in a long")))
+    return x.where(F.col("vec_id").isNotNull() & fine).select("vec_id", F.transform("e", whole).alias("v"))
 
 
 def top_k(table: DataFrame, every: int = 50, blocks: int | None = None) -> DataFrame:
@@ -95,7 +110,7 @@ def top_k(table: DataFrame, every: int = 50, blocks: int | None = None) -> DataF
 
     ``table`` is what ``vectors`` gives. Scores are integer inner products, ties go to the smaller vec_id. Vectors are compared with those of
     their own length; empty ones score 0. Rows with the query's vec_id are its own; other repeated rows each count, and a query
-    id that repeats is searched once, with its smallest vector. Fewer than ``K`` others give fewer rows, no rows none.
+    id that repeats is searched once, with its smallest vector. A score that does not fit in a long is an error. Fewer than ``K`` others give fewer rows, no rows none.
 
     Query and row blocks of bounded size meet by an equi-join on their numbers (the stated query set against all rows, in blocks).
     ``SEEDS`` rows are searched first: a query's ``K``-th score there is one that its result must reach, so most bounds fail.
