@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, ftrl_quality, line_dedup, minimax_shards, preference_format, segment_topk, simhash_dedup, sketch_fingerprints,
+    byte_bpe, fill_in_middle, ftrl_quality, line_dedup, merkle_manifest, minimax_shards, preference_format, segment_topk, simhash_dedup, sketch_fingerprints,
     source_mixing, subword_toxicity,
 )
 
@@ -63,6 +63,17 @@ def op10_sketch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch_fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.restore(fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle_manifest.manifest(_table(spark, sf_dir, "documents"))
+    proof = merkle_manifest.proof_digest(F.col("proof")).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,10 +82,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (op1_line_dedup, op2_segment_topk, op3_preference_format, op4_byte_bpe, op5_ftrl_quality, op6_source_mixing,
-             op7_subword_toxicity, op8_simhash_dedup, op9_minimax_shards, op10_sketch_fingerprints, pipeline)
+             op7_subword_toxicity, op8_simhash_dedup, op9_minimax_shards, op10_sketch_fingerprints, op11_fill_in_middle,
+             op12_merkle_manifest, pipeline)
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_line_dedup": line_dedup.ORACLE_SQL, "op2_segment_topk": segment_topk.ORACLE_SQL,
-            "op3_preference_format": preference_format.ORACLE_SQL, "op6_source_mixing": source_mixing.ORACLE_SQL}
+            "op3_preference_format": preference_format.ORACLE_SQL, "op6_source_mixing": source_mixing.ORACLE_SQL,
+            "op11_fill_in_middle": fill_in_middle.ORACLE_SQL, "op12_merkle_manifest": merkle_manifest.ORACLE_SQL}
