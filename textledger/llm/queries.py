@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, fill_in_middle, ftrl_quality, line_dedup, merkle_manifest, minimax_shards, preference_format, segment_topk, simhash_dedup, sketch_fingerprints,
+    byte_bpe, fill_in_middle, ftrl_quality, line_dedup, merkle_manifest, minimax_shards, pii_spans, preference_format, segment_topk, simhash_dedup, sketch_fingerprints,
     source_mixing, subword_toxicity,
 )
 
@@ -74,6 +74,13 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
 
 
+def op13_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_spans.personal_data(_table(spark, sf_dir, "documents"))
+    of_kind = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(of_kind, k))).cast("long").alias(f"n_{kind.name}") for k, kind in enumerate(pii_spans.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii_spans.as_text(F.col("base")), 256).alias("base_sha256"), pii_spans.as_text(F.col("spans")).alias("spans"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +90,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (op1_line_dedup, op2_segment_topk, op3_preference_format, op4_byte_bpe, op5_ftrl_quality, op6_source_mixing,
              op7_subword_toxicity, op8_simhash_dedup, op9_minimax_shards, op10_sketch_fingerprints, op11_fill_in_middle,
-             op12_merkle_manifest, pipeline)
+             op12_merkle_manifest, op13_pii_spans, pipeline)
     return {f.__name__: f for f in named}
 
 
