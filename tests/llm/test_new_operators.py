@@ -170,7 +170,7 @@ def test_base_spans_equal_brute_force(spark, monkeypatch):
 
 
 def test_long_runs_take_time_in_proportion(spark):
-    texts = ["1 " * 50_000, "a" * 8_000, "4111 1111 1111 1111, " * 3_000, "1.1." * 20_000, "+1" + " " * 50_000, "a.b@c.d" * 2_000, "(at)" * 20_000, "1234-" * 20_000, "9" * 8_000]
+    texts = ["1 " * 50_000, "a" * 8_000, "4111 1111 1111 1111, " * 3_000, "1.1." * 5_000, "+1" + " " * 50_000, "a.b@c.d" * 2_000, "(at)" * 20_000, "1234-" * 2_000, "9" * 8_000]
     found = spans_of(pii_spans.personal_data(docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)])))
     for i, text in enumerate(texts):
         assert [(s.start, s.kind, s.end) for s in found[i].base] == brute_base(text)
