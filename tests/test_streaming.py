@@ -34,7 +34,7 @@ def test_stream_dedup_across_batches(spark, tmp_path):
     rows = [("a", "s", "x", DAY), ("a", "s", "y", DAY), ("a", "s", "x", DAY + 1), ("b", "s", "x", None)]
     for part in (rows, rows):
         messages(spark, part).write.mode("append").parquet(src)
-        stream = dedup_stream(spark.readStream.schema(RAW_INPUT).parquet(src))
+        stream = dedup_stream(spark.readStream.schema(RAW_INPUT).parquet(src), keep_untimed=False)
         drain_to_parquet(stream.select("customer_id", "inbox_time_in_millis"), out, offsets)
     got = [tuple(r) for r in spark.read.parquet(out).orderBy("inbox_time_in_millis").collect()]
     assert got == [("a", DAY), ("a", DAY + 1)]
@@ -43,7 +43,7 @@ def test_stream_dedup_across_batches(spark, tmp_path):
 def test_stream_dedup_can_keep_messages_without_a_time(spark, tmp_path):
     src, out, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
     messages(spark, [("a", "s", "x", DAY), ("a", "s", "y", DAY), ("b", "s", "x", None), ("b", "s", "y", 0)]).write.parquet(src)
-    stream = dedup_stream(spark.readStream.schema(RAW_INPUT).parquet(src), keep_untimed=True)
+    stream = dedup_stream(spark.readStream.schema(RAW_INPUT).parquet(src))
     drain_to_parquet(stream.select("customer_id", "inbox_time_in_millis"), out, offsets)
     assert sorted((r[0], r[1] or 0) for r in spark.read.parquet(out).collect()) == [("a", DAY), ("b", 0), ("b", 0)]
 

@@ -29,6 +29,11 @@ def raw_id(borrower: Column, sender: Column, body: Column, time_ms: Column) -> C
     return F.sha2(F.concat_ws(FIELD_MARK, *parts), 256)
 
 
+def message_key(borrower: Column, time_ms: Column, row_id: Column) -> Column:
+    """What one message has for itself: borrower and millisecond, or without a time its content."""
+    return F.sha2(F.concat_ws(FIELD_MARK, F.coalesce(borrower, F.lit(NULL_MARK)), F.coalesce(time_ms.cast("string"), row_id)), 256)
+
+
 def epoch_date(time_ms: Column) -> Column:
     """UTC date by integer arithmetic, so the session time zone has no part in it.
 

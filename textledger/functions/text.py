@@ -54,30 +54,26 @@ def sanitize_body(body: Column, otp_first: bool = False) -> Column:
 
 
 def _first_money(body: Column, patterns: Iterable[str]) -> Column:
-    """First pattern whose first match is a number.  A capture of commas only falls to the next pattern.
+    """First pattern whose first match is a number, in a type wider than money.  A capture of commas only falls to the next pattern.
 
-    White space of the patterns is any Unicode space, as in masking.
+    White space of the patterns is any Unicode space, as in masking. A number too long even for the wide type is as large
+    as that type goes, so that it is seen to be too large.
     """
     wide = [p.replace(r"[:\s]", f"[:{SPACE}]").replace(r"\s*", f"[{SPACE}]*") for p in patterns]
-    tries = [
-        F.replace(F.regexp_extract(body, p, 1), F.lit(","), F.lit("")).try_cast(_MONEY_CAP) for p in wide
-    ]
-    return F.coalesce(*tries).try_cast("decimal(15,2)")
+    found = [F.replace(F.regexp_extract(body, p, 1), F.lit(","), F.lit("")) for p in wide]
+    return F.coalesce(*[F.coalesce(n.try_cast(_MONEY_CAP), F.when(F.length(n) > 36, F.lit("9" * 36).cast(_MONEY_CAP))) for n in found])
 
 
-def extract_amount(body_lower: Column, left_boundary: bool = False) -> Column:
-    """Transaction amount, from the unmasked body in lower case.
-
-    ``left_boundary=True`` wants a currency word to start a word ("others 500" gives null).
-    """
+def wide_amount(body_lower: Column, left_boundary: bool = False) -> Column:
+    """The number that ``extract_amount`` finds, also where it is too large for the type of money."""
     patterns = AMOUNT_PATTERNS
     if left_boundary:
         patterns = (rf"(?<![{WORD}]){AMOUNT_PATTERNS[0]}", *AMOUNT_PATTERNS[1:])
     return _first_money(body_lower, patterns)
 
 
-def extract_balance(body_lower: Column) -> Column:
-    """Account balance, from the unmasked body in lower case.
+def wide_balance(body_lower: Column) -> Column:
+    """The number that ``extract_balance`` finds, also where it is too large for the type of money.
 
     Every pattern needs one of five words; looking for them first spares most bodies the patterns.
     """
@@ -85,6 +81,19 @@ def extract_balance(body_lower: Column) -> Column:
     return F.when(named, _first_money(body_lower, BALANCE_PATTERNS))
 
 
+def extract_amount(body_lower: Column, left_boundary: bool = False) -> Column:
+    """Transaction amount, from the unmasked body in lower case; null where it does not fit in the type.
+
+    ``left_boundary=True`` wants a currency word to start a word ("others 500" gives null).
+    """
+    return wide_amount(body_lower, left_boundary).try_cast("decimal(15,2)")
+
+
+def extract_balance(body_lower: Column) -> Column:
+    """Account balance, from the unmasked body in lower case; null where it does not fit in the type."""
+    return wide_balance(body_lower).try_cast("decimal(15,2)")
+
+
 def view_amount(body_lower: Column) -> Column:
     """Amount of the tagged view: one pattern, all commas removed, no number gives null."""
     found = F.regexp_extract(body_lower, r"(?:rs\.?|inr|amount)\s*([\d,]+(?:\.\d{1,2})?)", 1)

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
-    epoch_date, extract_amount, extract_balance, first_label, hash_identifier, is_noise, label_array, pin,
-    raw_id, sanitize_body, sender_key, sender_tag, time_parts, view_amount,
+    epoch_date, first_label, hash_identifier, is_noise, label_array, pin, raw_id, sanitize_body, sender_key, sender_tag,
+    time_parts, view_amount, wide_amount, wide_balance,
 )
 from ..rules import DEFAULT_RULES, RuleSet
-from ..schemas import RENAMES
+from ..schemas import MONEY, RENAMES
 from .dedup import dedup_messages
 
 
@@ -66,7 +66,22 @@ def label_messages(raw: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     return pin(quiet, categories=labels).where(F.size("categories") > 0)
 
 
-def classify(raw: DataFrame, rules: RuleSet = DEFAULT_RULES, extra: Sequence[str | Column] = ()) -> DataFrame:
+#: With ``flag_overflow`` classified rows say whether an amount or balance is null because it is too large for its type.
+OVERFLOW = "money_overflow"
+
+
+def _money(name: str) -> Column:
+    return F.col(name).try_cast(MONEY).alias(name)
+
+
+def _overflow() -> Column:
+    over = [F.col(c).isNotNull() & F.col(c).try_cast(MONEY).isNull() for c in ("amount", "balance")]
+    return (over[0] | over[1]).alias(OVERFLOW)
+
+
+def classify(
+    raw: DataFrame, rules: RuleSet = DEFAULT_RULES, extra: Sequence[str | Column] = (), flag_overflow: bool = False
+) -> DataFrame:
     """Raw rows (see :func:`to_raw`) to classified rows.
 
     Masking and extraction stand after the filters, so their regular expressions
@@ -75,22 +90,25 @@ def classify(raw: DataFrame, rules: RuleSet = DEFAULT_RULES, extra: Sequence[str
     """
     parts = time_parts(F.col("inbox_time_ms"), F.col("txn_date"))
     lowered = F.col("_body_lower")
-    priced = pin(label_messages(raw, rules), amount=extract_amount(lowered), balance=extract_balance(lowered))
+    priced = pin(label_messages(raw, rules), amount=wide_amount(lowered), balance=wide_balance(lowered))
     return priced.select(
         "raw_id",
         "borrower_id",
         "sender_tag",
         "categories",
         sanitize_body(F.col("sms_body")).alias("sms_body"),
-        "amount",
-        "balance",
+        _money("amount"),
+        _money("balance"),
         *[value.alias(name) for name, value in parts.items()],
         "inbox_time_ms",
         *extra,
+        *([_overflow()] if flag_overflow else []),
     )
 
 
-def classify_deduplicated(raw: DataFrame, rules: RuleSet = DEFAULT_RULES, untimed_by_content: bool = False) -> DataFrame:
+def classify_deduplicated(
+    raw: DataFrame, rules: RuleSet = DEFAULT_RULES, untimed_by_content: bool = False, flag_overflow: bool = False
+) -> DataFrame:
     """``classify(dedup_messages(raw, untimed_by_content))`` with far less to shuffle.
 
     Deduplication must see rejected messages too, as one of them may be the copy
@@ -108,14 +126,14 @@ def classify_deduplicated(raw: DataFrame, rules: RuleSet = DEFAULT_RULES, untime
     kept = F.size("categories") > 0
     priced = pin(
         labelled,
-        amount=F.when(kept, extract_amount(body)),
-        balance=F.when(kept, extract_balance(body)),
+        amount=F.when(kept, wide_amount(body)),
+        balance=F.when(kept, wide_balance(body)),
         _clean=F.when(kept, sanitize_body(F.col("sms_body"))),
     )
     parts = time_parts(F.col("inbox_time_ms"), F.col("txn_date"))
     narrow = priced.select(
-        "raw_id", "borrower_id", "sender_tag", "categories", F.col("_clean").alias("sms_body"), "amount", "balance",
-        *[value.alias(name) for name, value in parts.items()], "inbox_time_ms",
+        "raw_id", "borrower_id", "sender_tag", "categories", F.col("_clean").alias("sms_body"), _money("amount"), _money("balance"),
+        *[value.alias(name) for name, value in parts.items()], "inbox_time_ms", *([_overflow()] if flag_overflow else []),
     )
     return dedup_messages(narrow, untimed_by_content).where(kept)
 

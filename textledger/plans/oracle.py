@@ -11,8 +11,9 @@ from __future__ import annotations
 from ..rules import (
     AMOUNT_PATTERNS, BALANCE_PATTERNS, EXCLUSIONS, LABELS, SENDER_HEADERS, SENDER_KEYWORDS,
 )
+from ..operators.features import LOOKBACK_DAYS
 from .inputs import messages_sql
-from .registry import AS_OF, CUT, LAST_YEAR, LOOKUP_ID, OTHER_KEYWORDS, RUN_DATE, STAMPS
+from .registry import AS_OF, CUT, LOOKUP_ID, OTHER_KEYWORDS, QUIET_DATE, RUN_DATE, STAMPS
 
 
 def _text(value: str) -> str:
@@ -283,7 +284,7 @@ def _average(test: str, value: str) -> str:
 
 _ALCOHOL, _UPI, _SALARY = _has("ALCOHOL_SPEND"), _has("UPI_PAYMENT"), _has("SALARY_CREDIT")
 PROFILE = f"""{CLASSIFIED},
-picked AS (SELECT * FROM classified WHERE borrower_id IS NOT NULL AND {_lookback(LAST_YEAR)}),
+picked AS (SELECT * FROM classified WHERE borrower_id IS NOT NULL AND {_lookback(LOOKBACK_DAYS)}),
 newest AS (
   SELECT borrower_id, balance AS latest FROM (
     SELECT borrower_id, balance, row_number() OVER (PARTITION BY borrower_id ORDER BY inbox_time_ms DESC, balance DESC) AS rn
@@ -389,7 +390,7 @@ def oracle_sql() -> dict[str, str]:
         "credit_momentum_30d": f"""{all_history} SELECT borrower_id, CAST(m1 AS DOUBLE) AS credit_last_30d,
             CAST(m2 AS DOUBLE) AS credit_prior_30d, credit_momentum FROM features
             WHERE borrower_id IN (SELECT borrower_id FROM classified WHERE {CREDIT} AND amount IS NOT NULL)""",
-        "risk_score": f"""WITH {CLASSIFIED}, {_features(_lookback(LAST_YEAR))} SELECT borrower_id, risk_score, risk_flag FROM features""",
+        "risk_score": f"""WITH {CLASSIFIED}, {_features(_lookback(LOOKBACK_DAYS))} SELECT borrower_id, risk_score, risk_flag FROM features""",
         "risk_distribution": f"""{features90} SELECT risk_flag, count(*) AS borrowers,
             round(CAST(100 AS DOUBLE) * count(*) / sum(count(*)) OVER (), 1) AS pct FROM features GROUP BY risk_flag""",
         "avg_credit_by_risk": f"""{features90} SELECT risk_flag, count(*) AS borrowers,
@@ -406,11 +407,11 @@ def oracle_sql() -> dict[str, str]:
             CAST(min_balance_proxy AS DOUBLE) AS min_balance_proxy, alcohol_txn_count,
             CAST(alcohol_spend_amount AS DOUBLE) AS alcohol_spend_amount, night_debit_count, failed_txn_count,
             salary_credit_count > 0 AS salary_detected,
-            round(CAST(credit * 30 AS DOUBLE) / {LAST_YEAR}, 2) AS monthly_credit_amount,
-            round(CAST(debit * 30 AS DOUBLE) / {LAST_YEAR}, 2) AS monthly_debit_amount,
+            round(CAST(credit * 30 AS DOUBLE) / {LOOKBACK_DAYS}, 2) AS monthly_credit_amount,
+            round(CAST(debit * 30 AS DOUBLE) / {LOOKBACK_DAYS}, 2) AS monthly_debit_amount,
             CASE WHEN prior > 0 THEN CAST(100 AS DOUBLE) * (CAST(recent AS DOUBLE) - CAST(prior AS DOUBLE)) / CAST(prior AS DOUBLE) END
               AS mom_credit_trend_pct,
-            '{AS_OF}' AS feature_date, CAST({LAST_YEAR} AS BIGINT) AS lookback_days
+            '{AS_OF}' AS feature_date, CAST({LOOKBACK_DAYS} AS BIGINT) AS lookback_days
             FROM scored w LEFT JOIN newest n ON w.borrower_id = n.borrower_id""",
         "profile_risk": f"""WITH {PROFILE} SELECT borrower_id, risk_score, CASE WHEN risk_score >= 5 THEN 'HIGH'
             WHEN risk_score >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS risk_flag FROM scored""",
@@ -450,7 +451,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_daily_counts": """SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS sms_count FROM events
             WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)
             GROUP BY user_id, CAST(ts AS DATE)""",
-        "stream_feature_refresh": f"""WITH {CLASSIFIED}, narrow AS ({_NARROW.format(where=_lookback(LAST_YEAR))})
+        "stream_feature_refresh": f"""WITH {CLASSIFIED}, narrow AS ({_NARROW.format(where=_lookback(LOOKBACK_DAYS))})
             SELECT {_out(UPSERT_COLUMNS)}, CAST(0 AS BIGINT) AS count_debit_txn_90d, CAST(NULL AS VARCHAR) AS risk_flag FROM narrow""",
         "classified_table": f"""WITH {_deduplicated(CLASSIFIED)} SELECT year(txn_date) AS txn_year, month(txn_date) AS txn_month,
             sender_tag, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount, (SELECT count(*) FROM classified) AS rows_written
@@ -461,7 +462,7 @@ def oracle_sql() -> dict[str, str]:
     sql |= {
         "features_90d_past": f"WITH {CLASSIFIED}, {_features(past)} SELECT {_out(WAREHOUSE_COLUMNS)} FROM features",
         "profile_wide_past": sql["profile_wide"].replace(
-            _lookback(LAST_YEAR), f"{_lookback(LAST_YEAR)} AND txn_date <= DATE '{AS_OF}'").replace(AS_OF, CUT),
+            _lookback(LOOKBACK_DAYS), f"{_lookback(LOOKBACK_DAYS)} AND txn_date <= DATE '{AS_OF}'").replace(AS_OF, CUT),
         "landed_deduplicated": f"""WITH {_deduplicated(TAGGED, untimed_by_content=True)},
             keyed AS (SELECT *, sha256(concat_ws(chr(31), coalesce(borrower_id, chr(30)), coalesce(sms_body, chr(30)),
               coalesce(CAST(inbox_time_ms AS VARCHAR), chr(30)))) AS dedup_key FROM tagged)
@@ -478,7 +479,11 @@ def oracle_sql() -> dict[str, str]:
             FROM labelled WHERE borrower_id IS NOT NULL AND txn_date = DATE '{RUN_DATE}' GROUP BY borrower_id, txn_date""",
         "job_full_refresh": f"""WITH {_deduplicated(CLASSIFIED, untimed_by_content=True)}, {_features(everything)}
             SELECT {_out(LOCAL_COLUMNS)} FROM features""",
-        "job_daily_after_refresh": _daily_after_refresh(),
+        **_jobs(),
+        "features_from_partials": sql["features_ddl"],
+        "features_from_partials_all_history": sql["features_all_history"],
+        "upsert_measures_from_partials": sql["features_upsert_measures"],
+        "stream_partials_refresh": sql["features_ddl"],
         "stream_dedup_whole": f"""{sql["stream_dedup"]} UNION ALL SELECT customer_id, inbox_time_in_millis FROM msg
             WHERE inbox_time_in_millis IS NULL OR inbox_time_in_millis = 0""",
         "stream_land": f"""WITH {TAGGED} SELECT CAST(txn_date AS VARCHAR) AS txn_date, sender_tag,
@@ -487,24 +492,32 @@ def oracle_sql() -> dict[str, str]:
     return sql
 
 
-def _daily_after_refresh() -> str:
-    """Features of the refresh; borrowers in the lookback of the day take its measures and risk."""
-    rows = f""", survivors AS (
-      SELECT * FROM (SELECT * FROM raw WHERE txn_date IS NULL OR txn_date < DATE '{RUN_DATE}'
-                     QUALIFY row_number() OVER (PARTITION BY borrower_id, inbox_time_ms,
-                       CASE WHEN inbox_time_ms IS NULL THEN raw_id END ORDER BY raw_id) = 1)
-      UNION ALL SELECT DISTINCT * FROM raw WHERE txn_date = DATE '{RUN_DATE}')"""
-    ctes = MSG + rows + CLASSIFIED[len(MSG):].replace("FROM raw)", "FROM survivors)")
-    before = f"(raw_date IS NULL OR raw_date < DATE '{RUN_DATE}')"
-    narrow = _NARROW.format(where=_lookback(90, RUN_DATE))
-    risk = ("credit_momentum", "risk_score", "risk_flag")
-    picked = [f"CASE WHEN u.borrower_id IS NOT NULL THEN u.{c} ELSE f.{c} END AS {c}" for c in UPSERT_COLUMNS.split()[1:]]
-    picked += [f"CASE WHEN r.borrower_id IS NOT NULL THEN r.{c} ELSE f.{c} END AS {c}" for c in risk]
-    merged = f"""SELECT coalesce(f.borrower_id, u.borrower_id) AS borrower_id, {", ".join(picked)}
-        FROM (WITH {_features(before)} SELECT * FROM features) f
-        FULL OUTER JOIN ({narrow}) u ON f.borrower_id = u.borrower_id
-        LEFT JOIN (WITH {_features(_lookback(90, RUN_DATE))} SELECT * FROM features) r ON r.borrower_id = coalesce(f.borrower_id, u.borrower_id)"""
-    return f"WITH {ctes} SELECT {_out(' '.join((UPSERT_COLUMNS, *risk)))} FROM ({merged})"
+def _landed_until(date: str) -> str:
+    """The CTEs up to ``classified`` over one message for each borrower and millisecond, of those without a date or up to one."""
+    rows = f""", survivors AS (SELECT * FROM raw WHERE txn_date IS NULL OR txn_date <= DATE '{date}'
+        QUALIFY row_number() OVER (PARTITION BY borrower_id, inbox_time_ms, CASE WHEN inbox_time_ms IS NULL THEN raw_id END ORDER BY raw_id) = 1)"""
+    return MSG + rows + CLASSIFIED[len(MSG):].replace("FROM raw)", "FROM survivors)")
+
+
+def _jobs() -> dict[str, str]:
+    """Features over all days that were landed, as of the last run; whichever runs brought them."""
+    ctes = _landed_until(RUN_DATE)
+    window = lambda day: f"{_lookback(90, day)} AND txn_date <= DATE '{day}'"
+    after = f"WITH {ctes}, {_features(window(QUIET_DATE))} SELECT {_out(TABLE_COLUMNS)} FROM features"
+    before = "2000-01-04"
+    return {
+        "job_daily_after_refresh": f"WITH {ctes}, {_features(window(RUN_DATE))} SELECT {_out(TABLE_COLUMNS)} FROM features",
+        "job_daily_equals_refresh": after,
+        "job_profile_lookup": f"{after} WHERE borrower_id = '{LOOKUP_ID}'",
+        "job_classified_rows": f"""WITH {ctes} SELECT raw_id, borrower_id, categories, CAST(amount AS DOUBLE) AS amount,
+            CAST(txn_date AS VARCHAR) AS txn_date FROM classified""",
+        "bucket_upsert": f"""WITH {ctes},
+            moved AS (SELECT DISTINCT borrower_id FROM classified
+              WHERE txn_date = DATE '{RUN_DATE}' OR txn_date = DATE '{before}' - INTERVAL 90 DAY)
+            SELECT borrower_id, count(*) AS total_financial_sms_90d,
+              CASE WHEN borrower_id IN (SELECT borrower_id FROM moved WHERE borrower_id IS NOT NULL) THEN '{STAMPS[1]}' ELSE '{STAMPS[0]}' END AS last_updated
+            FROM classified WHERE borrower_id IS NOT NULL AND {window(RUN_DATE)} GROUP BY borrower_id""",
+    }
 
 
 def _deduplicated(ctes: str, untimed_by_content: bool = False) -> str:

@@ -18,7 +18,7 @@ from ..operators.classify import (
 )
 from ..operators.dedup import dedup_content, dedup_messages
 from ..operators.features import (
-    borrower_features, borrower_totals, credit_momentum, in_lookback, latest_balance, lookup, upsert_features,
+    LOOKBACK_DAYS, borrower_features, borrower_totals, credit_momentum, in_lookback, latest_balance, lookup, upsert_features,
     warehouse_features,
 )
 from ..operators.merge import empty_features, merge_features, not_yet_processed
@@ -35,16 +35,17 @@ from ..streaming.jobs import (
     refresh_features,
 )
 from .inputs import LINE_COLUMNS, derive_messages, read_table, sms_input
-from .jobs import Tables, daily_run, full_refresh, read_features
+from ..operators import partials as sums
+from .jobs import FACTS, Tables, daily_run, full_refresh, lookup_profile, read_features, read_table as read_job_table, refresh_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2001-11-04"  # last ship date in the data: never the wall clock
 CUT = "1999-06-30"  # separates "already processed" from new in the incremental queries
 RUN_DATE = "2000-01-05"  # day of the daily run that follows a refresh
+QUIET_DATE = "2000-02-05"  # day of a run that brings nothing
 STAMPS = ("1999-06-30 06:00:00", "2001-11-04 06:00:00")  # of a table and of what is merged into it
 LOOKUP_ID = "B000005"  # present at every scale
-LAST_YEAR = 365
 #: Keywords with which most headers of the dictionary would have no tag.
 OTHER_KEYWORDS = {"LENDER": ("loan", "emi"), "UPI": ("wallet",)}
 
@@ -87,7 +88,7 @@ def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The columns the feature operators read: no text, so this is a narrow table.
-FACT_COLUMNS = ("borrower_id", "categories", "amount", "balance", "txn_date", "inbox_time_ms")
+FACT_COLUMNS = FACTS
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,7 +378,7 @@ def credit_momentum_30d(spark, sf_dir):
 @query
 def risk_score(spark, sf_dir):
     facts = _facts(spark, sf_dir)
-    return borrower_features(facts, AS_OF, LAST_YEAR).select("borrower_id", "risk_score", "risk_flag")
+    return borrower_features(facts, AS_OF, LOOKBACK_DAYS).select("borrower_id", "risk_score", "risk_flag")
 
 
 @query
@@ -418,7 +419,7 @@ def feature_upsert(spark, sf_dir):
 @query
 def profile_wide(spark, sf_dir):
     rows = profile_input(_raw(spark, sf_dir))
-    return score_profile(wide_profile(rows, AS_OF, LAST_YEAR)).drop("risk_score", "risk_flag")
+    return score_profile(wide_profile(rows, AS_OF, LOOKBACK_DAYS)).drop("risk_score", "risk_flag")
 
 
 @query
@@ -434,13 +435,13 @@ def stamped_upsert(spark, sf_dir):
 @query
 def profile_wide_past(spark, sf_dir):
     rows = profile_input(_raw(spark, sf_dir))
-    return score_profile(wide_profile(rows, CUT, LAST_YEAR)).drop("risk_score", "risk_flag")
+    return score_profile(wide_profile(rows, CUT, LOOKBACK_DAYS)).drop("risk_score", "risk_flag")
 
 
 @query
 def profile_risk(spark, sf_dir):
     rows = profile_input(_raw(spark, sf_dir))
-    return score_profile(wide_profile(rows, AS_OF, LAST_YEAR)).select("borrower_id", "risk_score", "risk_flag")
+    return score_profile(wide_profile(rows, AS_OF, LOOKBACK_DAYS)).select("borrower_id", "risk_score", "risk_flag")
 
 
 # --- validation --------------------------------------------------------------
@@ -513,32 +514,102 @@ def constraint_violations(spark, sf_dir):
 # --- whole jobs ---------------------------------------------------------------
 
 
+_LOCAL = (
+    "borrower_id", "total_financial_sms_90d", "count_credit_txn_90d", "sum_credit_amount_90d", "count_debit_txn_90d", "sum_debit_amount_90d",
+    "count_loan_disbursement_90d", "count_emi_payment_90d", "sum_emi_amount_90d", "count_bounce_txn_90d", "latest_sms_date",
+    "last_known_balance", "credit_momentum", "risk_score", "risk_flag",
+)
+
+
 @query
 def job_full_refresh(spark, sf_dir):
-    """The feature view after two full refreshes under one run id."""
-    tables, view = Tables(fresh_path(spark, "job")), _own_name("job_features")
+    """The feature table after two full refreshes over the whole history under one run id."""
+    tables = Tables(fresh_path(spark, "job"))
     for _ in range(2):
-        full_refresh(sms_input(spark, sf_dir), tables, "2024-05-01", view=view)
-    return read_features(spark, view).select(
-        "borrower_id", "total_financial_sms_90d", "count_credit_txn_90d", "sum_credit_amount_90d",
-        "count_debit_txn_90d", "sum_debit_amount_90d", "count_loan_disbursement_90d", "count_emi_payment_90d",
-        "sum_emi_amount_90d", "count_bounce_txn_90d", "latest_sms_date", "last_known_balance", "credit_momentum",
-        "risk_score", "risk_flag",
-    )
+        full_refresh(sms_input(spark, sf_dir), tables, "2024-05-01", lookback_days=None)
+    return read_features(spark, tables).select(*_LOCAL)
+
+
+def _sent_on(messages: DataFrame, first: str | None, last: str) -> DataFrame:
+    """Messages of some days, and with ``first=None`` also those without a date."""
+    day = epoch_date(F.col("inbox_time_in_millis"))
+    low = day.isNull() if first is None else F.lit(False)
+    return messages.where(low | ((day >= F.lit(first or "1900-01-01").cast("date")) & (day <= F.lit(last).cast("date"))))
+
+
+def _daily_runs(spark: SparkSession, sf_dir: str, buckets: int = 16) -> Tables:
+    """A refresh over all messages up to CUT, then one upload for the next half year, a repeated run of a day, and a day without messages."""
+    tables, sent = Tables(fresh_path(spark, "job"), buckets), sms_input(spark, sf_dir)
+    full_refresh(_sent_on(sent, None, CUT), tables, "r1", as_of=CUT)
+    daily_run(_sent_on(sent, "1999-07-01", "2000-01-04"), tables, "d1", "2000-01-04")
+    for _ in range(2):
+        daily_run(_sent_on(sent, RUN_DATE, RUN_DATE), tables, "d2", RUN_DATE)
+    daily_run(_sent_on(sent, "2100-01-01", "2100-01-01"), tables, "d3", QUIET_DATE)
+    return tables
 
 
 @query
 def job_daily_after_refresh(spark, sf_dir):
     """A refresh over the messages before a day and those without one, then that day's run, twice."""
-    tables, view = Tables(fresh_path(spark, "job")), _own_name("job_features")
+    tables = Tables(fresh_path(spark, "job"))
     sent, day = sms_input(spark, sf_dir), epoch_date(F.col("inbox_time_in_millis"))
-    full_refresh(sent.where(day.isNull() | (day < F.lit(RUN_DATE).cast("date"))), tables, "2024-05-01", view=view)
+    full_refresh(sent.where(day.isNull() | (day < F.lit(RUN_DATE).cast("date"))), tables, "2024-05-01", as_of="2000-01-04")
     for _ in range(2):
-        daily_run(sent.where(day == F.lit(RUN_DATE).cast("date")), tables, "2024-05-02", RUN_DATE, view)
-    return read_features(spark, view).select(
-        "borrower_id", "total_financial_sms_90d", "count_credit_txn_90d", "sum_credit_amount_90d",
-        "count_emi_payment_90d", "sum_emi_amount_90d", "count_bounce_txn_90d", "credit_momentum", "risk_score", "risk_flag",
-    )
+        daily_run(sent.where(day == F.lit(RUN_DATE).cast("date")), tables, "2024-05-02", RUN_DATE)
+    return read_features(spark, tables).drop("last_updated")
+
+
+@query
+def job_daily_equals_refresh(spark, sf_dir):
+    """Features after daily runs, the last of them a month later: as one refresh over all those days gives them."""
+    return read_features(spark, _daily_runs(spark, sf_dir)).drop("last_updated")
+
+
+@query
+def job_profile_lookup(spark, sf_dir):
+    """One borrower after the same runs, read from one bucket."""
+    return lookup_profile(spark, _daily_runs(spark, sf_dir), LOOKUP_ID).drop("last_updated")
+
+
+@query
+def job_classified_rows(spark, sf_dir):
+    """The classified table after the same runs: one row for each borrower and millisecond."""
+    rows = read_job_table(spark, _daily_runs(spark, sf_dir), "classified")
+    return rows.select("raw_id", "borrower_id", "categories", "amount", "txn_date")
+
+
+@query
+def features_from_partials(spark, sf_dir):
+    """The whole feature table, 90-day lookback, from sums per borrower and day that were taken apart and merged."""
+    facts = _facts(spark, sf_dir)
+    before = F.coalesce(F.col("inbox_time_ms") % 2 == 0, F.lit(False))
+    halves = [facts.where(before), facts.where(~before)]
+    partials = settle(sums.merge_partials(sums.daily_partials(halves[0]).unionByName(sums.daily_partials(halves[1]))), "partials")
+    instants = settle(sums.credit_instants(halves[0]).unionByName(sums.credit_instants(halves[1])), "instants")
+    return sums.window_features(partials, instants, AS_OF)
+
+
+@query
+def features_from_partials_all_history(spark, sf_dir):
+    facts = _facts(spark, sf_dir)
+    partials, instants = settle(sums.daily_partials(facts), "partials"), settle(sums.credit_instants(facts), "instants")
+    return sums.window_features(partials, instants, lookback_days=None).select(*_LOCAL)
+
+
+@query
+def upsert_measures_from_partials(spark, sf_dir):
+    return sums.window_upsert_measures(sums.daily_partials(_classified(spark, sf_dir)), AS_OF)
+
+
+@query
+def bucket_upsert(spark, sf_dir):
+    """Which borrowers a day's run wrote anew, by their time of update: those whose window changed."""
+    before, after = (F.lit(t).cast("timestamp") for t in STAMPS)
+    tables, sent = Tables(fresh_path(spark, "job"), 16), sms_input(spark, sf_dir)
+    full_refresh(_sent_on(sent, None, "2000-01-04"), tables, "r1", as_of="2000-01-04", updated_at=before)
+    daily_run(_sent_on(sent, RUN_DATE, RUN_DATE), tables, "d1", RUN_DATE, updated_at=after)
+    features = read_features(spark, tables)
+    return features.select("borrower_id", "total_financial_sms_90d", F.col("last_updated").cast("string").alias("last_updated"))
 
 
 # --- streams, drained to the end -----------------------------------------------
@@ -559,7 +630,7 @@ def stream_classify(spark, sf_dir):
 @query
 def stream_dedup(spark, sf_dir):
     out = fresh_path(spark, "stream")
-    stream = dedup_stream(_message_stream(spark, sf_dir)).select("customer_id", "inbox_time_in_millis")
+    stream = dedup_stream(_message_stream(spark, sf_dir), keep_untimed=False).select("customer_id", "inbox_time_in_millis")
     drain_to_parquet(stream, out, fresh_path(spark, "offsets"))
     return spark.read.schema("customer_id string, inbox_time_in_millis bigint").parquet(out)
 
@@ -568,7 +639,7 @@ def stream_dedup(spark, sf_dir):
 def stream_dedup_whole(spark, sf_dir):
     """Deduplication of a stream that keeps messages without a time."""
     out = fresh_path(spark, "stream")
-    stream = dedup_stream(_message_stream(spark, sf_dir), keep_untimed=True)
+    stream = dedup_stream(_message_stream(spark, sf_dir))
     drain_to_parquet(stream.select("customer_id", "inbox_time_in_millis"), out, fresh_path(spark, "offsets"))
     return spark.read.schema("customer_id string, inbox_time_in_millis bigint").parquet(out)
 
@@ -614,9 +685,23 @@ def stream_feature_refresh(spark, sf_dir):
         version = f"{batch_id}-{uuid.uuid4().hex[:8]}"
         publish_snapshot(features, view, version, f"{versions}/{version}")
 
-    refresh = refresh_features(lambda: spark.read.parquet(table), published, publish, AS_OF, LAST_YEAR)
+    refresh = refresh_features(lambda: spark.read.parquet(table), published, publish, AS_OF, LOOKBACK_DAYS)
     drain_batches(classify_stream(_message_stream(spark, sf_dir)), land, fresh_path(spark, "offsets"))
     return published().select(
         "borrower_id", "total_financial_sms_90d", "count_credit_txn_90d", "sum_credit_amount_90d",
         "count_emi_payment_90d", "sum_emi_amount_90d", "count_bounce_txn_90d", "count_debit_txn_90d", "risk_flag",
     )
+
+
+@query
+def stream_partials_refresh(spark, sf_dir):
+    """Classified batches drained into the sums per borrower and day; features follow batch by batch, the last batch replayed."""
+    tables = Tables(fresh_path(spark, "streamed"), 16)
+    step = refresh_stream(spark, tables, AS_OF, "messages")
+
+    def each(batch, batch_id):
+        step(batch, batch_id)
+        step(batch, batch_id)
+
+    drain_batches(classify_stream(_message_stream(spark, sf_dir)), each, fresh_path(spark, "offsets"))
+    return read_features(spark, tables).drop("last_updated")

@@ -85,3 +85,39 @@ FEATURES: tuple[tuple[str, T.DataType, int | None], ...] = (
 )
 FEATURE_SCHEMA = T.StructType([T.StructField(n, t) for n, t, _ in FEATURES])
 FEATURE_DEFAULTS = {n: d for n, _, d in FEATURES if d is not None}
+
+# Sums per borrower and UTC day, and credits per millisecond: see operators/partials.py.
+PARTIALS = T.StructType(
+    [
+        T.StructField("borrower_id", T.StringType()),
+        T.StructField("txn_date", T.DateType()),
+        T.StructField("messages", T.LongType()),
+        T.StructField("credits", T.LongType()),
+        T.StructField("credit_sum", MONEY_SUM),
+        T.StructField("credit_max", MONEY),
+        T.StructField("bank_credits", T.LongType()),
+        T.StructField("bank_credit_sum", MONEY_SUM),
+        T.StructField("salaries", T.LongType()),
+        T.StructField("debits", T.LongType()),
+        T.StructField("debit_sum", MONEY_SUM),
+        T.StructField("loans", T.LongType()),
+        T.StructField("loan_sum", MONEY_SUM),
+        T.StructField("emis", T.LongType()),
+        T.StructField("emi_sum", MONEY_SUM),
+        T.StructField("bounces", T.LongType()),
+        T.StructField("reminders", T.LongType()),
+        T.StructField("balance_min", MONEY),
+        T.StructField("balance_last", MONEY),
+        T.StructField("balance_order", T.DecimalType(38, 0)),
+        T.StructField("first_ms", T.LongType()),
+        T.StructField("last_ms", T.LongType()),
+    ]
+)
+INSTANTS = T.StructType(
+    [
+        T.StructField("borrower_id", T.StringType()),
+        T.StructField("txn_date", T.DateType()),
+        T.StructField("inbox_time_ms", T.LongType()),
+        T.StructField("credit", MONEY_SUM),
+    ]
+)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +43,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate through the file system that Spark itself uses."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def settled(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``settle`` for as long as the block lasts; then the files go."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove(df.sparkSession, path)

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,16 +50,22 @@ def replace_markers(raw: DataFrame, path: str) -> None:
     marks.write.mode("overwrite").partitionBy("txn_period").parquet(path)
 
 
-def write_counted(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Write and return the number of rows, in one pass.
+def write_checked(rows: DataFrame, write: Callable[[DataFrame], None], checks: Mapping[str, Column] | None = None) -> dict[str, int]:
+    """Write and return the number of rows, and of those that meet each condition of ``checks``, in the same pass.
 
-    The observation sits right below the write, above every shuffle: only tasks of
-    the last stage count exactly once when executors are lost or a range exchange
-    samples its input.
+    So constraints are checked while a table is written, without reading it again. The observation sits right below the write, above
+    every shuffle: only tasks of the last stage count exactly once when executors are lost or a range exchange samples its input.
     """
     seen = Observation()
-    write(rows.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return int(seen.get.get("rows", 0))
+    counts = [F.count_if(F.coalesce(test, F.lit(False))).alias(name) for name, test in (checks or {}).items()]
+    write(rows.observe(seen, F.count(F.lit(1)).alias("rows"), *counts))
+    found = seen.get
+    return {name: int(found.get(name, 0)) for name in ("rows", *(checks or {}))}
+
+
+def write_counted(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write and return the number of rows, in one pass."""
+    return write_checked(rows, write)["rows"]
 
 
 def append_classified(classified: DataFrame, path: str) -> int:

@@ -35,11 +35,11 @@ def land_stream(messages: DataFrame, path: str, checkpoint: str, run_id: str) ->
     drain_to_parquet(rows.withColumn("txn_period", period_of(F.col("txn_date"))), path, checkpoint, "txn_period")
 
 
-def dedup_stream(messages: DataFrame, late: str = "7 days", keep_untimed: bool = False) -> DataFrame:
+def dedup_stream(messages: DataFrame, late: str = "7 days", keep_untimed: bool = True) -> DataFrame:
     """First message per (borrower, millisecond).
 
-    Messages without a time have no place in a watermark: they are left out, or with ``keep_untimed`` go
-    round the state, copies included.
+    Messages without a time have no place in a watermark: they go round the state, copies included, or with
+    ``keep_untimed=False`` are left out.
 
     State is dropped once the watermark has passed it, so it stays bounded; a copy
     that arrives later than that is kept, unlike in batch.
