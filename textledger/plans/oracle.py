@@ -480,6 +480,16 @@ def oracle_sql() -> dict[str, str]:
         "job_full_refresh": f"""WITH {_deduplicated(CLASSIFIED, untimed_by_content=True)}, {_features(everything)}
             SELECT {_out(LOCAL_COLUMNS)} FROM features""",
         **_jobs(),
+        "labels_from_rule_join": sql["labels_from_rule_table"],
+        "keywords_in_documents": f"""WITH k AS (SELECT DISTINCT keyword FROM (
+              SELECT unnest(regexp_split_to_array(lower("text"), '[^a-z]+')) AS keyword FROM benchmark
+              UNION ALL SELECT unnest({_list(key for label in LABELS for key in (*label.include, *label.exclude))})) WHERE length(keyword) > 3)
+            SELECT doc_id, keyword FROM documents, k WHERE contains(lower("text"), keyword)""",
+        "rolling_credit_30_60": f"""WITH {CLASSIFIED} SELECT raw_id, borrower_id, inbox_time_ms, CAST(amount AS DOUBLE) AS amount,
+            CAST(sum(amount) OVER (days RANGE BETWEEN 2591999999 PRECEDING AND CURRENT ROW) AS DOUBLE) AS credit_30d,
+            CAST(sum(amount) OVER (days RANGE BETWEEN 5183999999 PRECEDING AND CURRENT ROW) AS DOUBLE) AS credit_60d
+            FROM classified WHERE borrower_id IS NOT NULL AND {CREDIT} AND amount IS NOT NULL AND inbox_time_ms IS NOT NULL
+            WINDOW days AS (PARTITION BY borrower_id ORDER BY inbox_time_ms)""",
         "features_from_partials": sql["features_ddl"],
         "features_from_partials_all_history": sql["features_all_history"],
         "upsert_measures_from_partials": sql["features_upsert_measures"],

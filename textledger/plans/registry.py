@@ -22,6 +22,8 @@ from ..operators.features import (
     warehouse_features,
 )
 from ..operators.merge import empty_features, merge_features, not_yet_processed
+from ..operators.rolling import rolling_credit
+from ..operators.rule_join import label_by_rules, matches
 from ..operators.profile import profile_input, score_profile, wide_profile
 from ..rules import DEFAULT_RULES, RuleSet
 from ..sources.messages import classify_increment, land_raw, read_messages_csv, read_raw
@@ -140,19 +142,36 @@ def classify_labels(spark, sf_dir):
     return label_messages(_raw(spark, sf_dir)).select("raw_id", "sender_tag", "categories")
 
 
-@query
-def labels_from_rule_table(spark, sf_dir):
+def _rule_table(spark: SparkSession) -> DataFrame:
     rows = [
         (label.name, list(label.tags), key, kind)
         for label in DEFAULT_RULES.labels
         for kind, keys in (("include", label.include), ("exclude", label.exclude))
         for key in keys
     ]
-    table = spark.createDataFrame(rows, "label string, tags array<string>, keyword string, kind string")
-    labelled = label_messages(_raw(spark, sf_dir), RuleSet.from_table(table))
+    return spark.createDataFrame(rows, "label string, tags array<string>, keyword string, kind string")
+
+
+@query
+def labels_from_rule_table(spark, sf_dir):
+    labelled = label_messages(_raw(spark, sf_dir), RuleSet.from_table(_rule_table(spark)))
     return labelled.select("raw_id", F.array_sort("categories").alias("categories"))
 
 
+@query
+def labels_from_rule_join(spark, sf_dir):
+    return label_by_rules(_raw(spark, sf_dir), _rule_table(spark)).select("raw_id", "categories")
+
+
+@query
+def keywords_in_documents(spark, sf_dir):
+    """The words of the benchmark's texts, with the messages' keywords, in documents: a rule table made of data."""
+    words = read_table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("keyword"))
+    keywords = settle(words.unionByName(_rule_table(spark).select("keyword")).where(F.length("keyword") > 3).distinct(), "keywords")
+    texts = read_table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("body"))
+    return matches(texts, keywords, "doc_id", "body")
+
+
 @query
 def label_distribution(spark, sf_dir):
     return reports.label_distribution(label_messages(_raw(spark, sf_dir)))
@@ -375,6 +394,11 @@ def credit_momentum_30d(spark, sf_dir):
     return credit_momentum(facts, borrower_totals(facts))
 
 
+@query
+def rolling_credit_30_60(spark, sf_dir):
+    return rolling_credit(_classified(spark, sf_dir))
+
+
 @query
 def risk_score(spark, sf_dir):
     facts = _facts(spark, sf_dir)
