@@ -11,14 +11,20 @@ from .common import Scratch
 
 K = 5
 #: Numbers of segments a vector is cut into, coarse to fine.
-LEVELS = (1, 4, 16)
-QUERIES_PER_BLOCK = 4_096
+LEVELS = (1, 4, 16, 32)
+QUERIES_PER_BLOCK = 16_384
 ROWS_PER_BLOCK = 8_192
 #: So many vectors, in hash order, give each query a first score that its k-th best reaches at least.
 SEEDS = 2_048
 #: What a score and a component times 256 must stay below; a larger one is an error, as in SQL.
 TOO_LARGE = 2**63
-_TILE = 512
+#: Queries and rows that are compared at once: a tile's matrices hold so many numbers.
+_TILE = (512, 2_048)
+#: A level that leaves more than this of a block's pairs is skipped, but for one tile in ``_LOOK_AGAIN``.
+_PAYS = 0.9
+_LOOK_AGAIN = 8
+#: Whole numbers up to here are exact as doubles.
+_EXACT = 2.0**53
 
 
 def _segment_features(x: np.ndarray, segments: int) -> np.ndarray:
@@ -34,35 +40,52 @@ def _segment_features(x: np.ndarray, segments: int) -> np.ndarray:
     return np.hstack((sums / np.sqrt(lengths), np.sqrt(np.maximum(0.0, squares - sums * sums / lengths))))
 
 
-def survivors(queries: np.ndarray, rows: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, row) whose lower-bound distance leaves a score of ``least`` possible.
+class Bounds:
+    """Upper bounds of the scores of a block of queries and a block of rows, from coarse to fine levels.
 
-    With d the distance, q.x = (|q|^2 + |x|^2 - d^2) / 2: a lower bound of d bounds the score from above. The coarsest level looks at all
-    pairs of a tile, each finer one at what the level before left.
+    With d the distance, q.x = (|q|^2 + |x|^2 - d^2) / 2: a lower bound of d bounds the score from above. Each level of a tile is one matrix
+    product of segment features. ``counts`` holds, per level, pairs that came to it and pairs it left.
     """
-    if not rows.shape[1]:
-        return tuple(np.indices((len(queries), len(rows))).reshape(2, -1))
-    levels = [(_segment_features(queries, s), _segment_features(rows, s)) for s in LEVELS]
-    n_query, n_row = (queries * queries).sum(axis=1), (rows * rows).sum(axis=1)
-    # Rounding grows with the norms of the pair itself: a long vector leaves the slack of the others as it is.
-    half_query, half_row, least = n_query * (0.5 + _SLACK), n_row * (0.5 + _SLACK), least - _SLACK
-    norms = lambda f: (f * f).sum(axis=1)
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    for at in range(0, len(queries), _TILE):
-        tile = slice(at, at + _TILE)
-        fq, fx = levels[0][0][tile], levels[0][1]
-        distance = norms(fq)[:, None] + norms(fx)[None, :] - 2 * fq @ fx.T
-        q, x = np.nonzero(half_query[tile, None] + half_row[None, :] - distance / 2 >= least[tile, None])
-        q += at
-        for fq, fx in levels[1:]:
-            distance = np.concatenate([((fq[q[i : i + _PAIRS]] - fx[x[i : i + _PAIRS]]) ** 2).sum(axis=1) for i in range(0, len(q), _PAIRS)] or [np.zeros(0)])
-            keep = half_query[q] + half_row[x] - distance / 2 >= least[q]
-            q, x = q[keep], x[keep]
-        found.append((q, x))
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-
-
-_PAIRS = 1 << 18
+
+    def __init__(self, queries: np.ndarray, rows: np.ndarray):
+        self.features = [(_segment_features(queries, s), _segment_features(rows, s)) for s in LEVELS] if rows.shape[1] else []
+        self.norms = [tuple((f * f).sum(axis=1) / 2 for f in pair) for pair in self.features]
+        # Rounding grows with the norms of the pair itself: a long vector leaves the slack of the others as it is.
+        self.half = tuple((m * m).sum(axis=1) * (0.5 + _SLACK) for m in (queries, rows))
+        self.counts, self.tiles = np.zeros((len(self.features), 2)), 0
+
+    def possible(self, q: slice, x: slice, least: np.ndarray) -> np.ndarray:
+        """Of the pairs of a tile those that may reach a score of ``least``, one number per query, as a mask."""
+        open_ = np.ones((len(self.half[0][q]), len(self.half[1][x])), bool)
+        self.tiles += 1
+        for level, ((fq, fx), (nq, nx)) in enumerate(zip(self.features, self.norms)):
+            came, left = self.counts[level]
+            if (left > _PAYS * came and self.tiles % _LOOK_AGAIN) or not open_.any():
+                continue
+            self.counts[level, 0] += np.count_nonzero(open_)
+            # Rows and queries that no pair is left of take no part in the finer products.
+            rows, columns = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+            bound = fq[q][rows] @ fx[x][columns].T
+            bound += (self.half[0][q] - nq[q])[rows, None]
+            bound += (self.half[1][x] - nx[x])[None, columns]
+            inner = np.ix_(rows, columns)
+            open_[inner] &= bound >= (least - _SLACK)[rows, None]
+            self.counts[level, 1] += np.count_nonzero(open_)
+        return open_
+
+
+def survivors(queries: np.ndarray, rows: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, row) for which the bounds leave a score of ``least`` possible."""
+    bounds, found = Bounds(queries, rows), []
+    for at in range(0, len(queries), _TILE[0]):
+        tile = slice(at, at + _TILE[0])
+        for to in range(0, len(rows), _TILE[1]):
+            q, x = np.nonzero(bounds.possible(tile, slice(to, to + _TILE[1]), least[tile]))
+            found.append((q + at, x + to))
+    return tuple(np.concatenate([f[i] for f in found] or [np.zeros(0, int)]) for i in (0, 1))
+
+
+_PAIRS = 1 << 16
 _SLACK = 1e-6
 
 
@@ -78,22 +101,56 @@ def _scores(a: np.ndarray, b: np.ndarray, q: np.ndarray, x: np.ndarray) -> np.nd
     return score
 
 
+def _best(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Places of the ``K`` highest scores, ties to the smaller id, in order."""
+    if len(scores) > K:
+        floor = np.partition(scores, len(scores) - K)[len(scores) - K]
+        near = np.flatnonzero(scores >= floor)
+    else:
+        near = np.arange(len(scores))
+    return near[np.lexsort((ids[near], -scores[near]))[:K]]
+
+
 def _block(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-    """The best ``K`` rows of one block for each query of another, by exact scores of the pairs that bounds leave over."""
+    """The best ``K`` rows of one block for each query of another, by exact scores of the pairs that bounds leave over.
+
+    A tile's exact scores are one product of doubles where all of them are whole numbers below 2**53, and else integers pair
+    by pair. Of each tile a query keeps its best, whose last score is one that later tiles must reach; so
+    the pairs of one tile are in memory, not those of the block.
+    """
     empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
     if not len(queries) or not len(rows):
         return empty
     a, b = (np.array(df["v"].tolist(), np.int64).reshape(len(df), -1) for df in (queries, rows))
-    q_ids, x_ids, least = queries["vec_id"].to_numpy(np.int64), rows["vec_id"].to_numpy(np.int64), queries["least"].to_numpy(np.float64)
-    q, x = survivors(a.astype(np.float64), b.astype(np.float64), least)
-    other = q_ids[q] != x_ids[x]
-    q, x = q[other], x[other]
-    score = _scores(a, b, q, x)
-    order = np.lexsort((x_ids[x], -score, q))
-    q, x, score = q[order], x[order], score[order]
-    first = np.searchsorted(q, q)
-    best = np.arange(len(q)) - first < K
-    return pd.DataFrame({"query_id": q_ids[q[best]], "vec_id": x_ids[x[best]], "score": score[best]}) if best.any() else empty
+    q_ids, x_ids, least = queries["vec_id"].to_numpy(np.int64), rows["vec_id"].to_numpy(np.int64), queries["least"].to_numpy(np.float64).copy()
+    fa, fb = a.astype(np.float64), b.astype(np.float64)
+    bounds = Bounds(fa, fb)
+    whole = [np.abs(m).max(axis=1, initial=0) for m in (fa, fb)]
+    kept_score = [np.zeros(0, np.int64)] * len(a)
+    kept_id = [np.zeros(0, np.int64)] * len(a)
+    for to in range(0, len(b), _TILE[1]):
+        x = slice(to, to + _TILE[1])
+        for at in range(0, len(a), _TILE[0]):
+            q = slice(at, at + _TILE[0])
+            open_ = bounds.possible(q, x, least[q]) & (q_ids[q, None] != x_ids[None, x])
+            columns = np.flatnonzero(open_.any(axis=0))
+            if not len(columns):
+                continue
+            exact = whole[0][q].max() * whole[1][x].max() * max(a.shape[1], 1) < _EXACT
+            tile = fa[q] @ fb[x][columns].T if exact else None
+            for i in np.flatnonzero(open_.any(axis=1)):
+                hits = np.flatnonzero(open_[i, columns])
+                picked = columns[hits] + to
+                score = tile[i, hits].astype(np.int64) if exact else _scores(a[at + i : at + i + 1], b[picked], np.zeros(len(picked), int), np.arange(len(picked)))
+                near = _best(score, x_ids[picked])
+                score = np.concatenate((kept_score[at + i], score[near]))
+                ids = np.concatenate((kept_id[at + i], x_ids[picked[near]]))
+                near = _best(score, ids)
+                kept_score[at + i], kept_id[at + i] = score[near], ids[near]
+                if len(near) == K:
+                    least[at + i] = max(least[at + i], float(score[near[-1]]))
+    lengths = [len(s) for s in kept_score]
+    return pd.DataFrame({"query_id": np.repeat(q_ids, lengths), "vec_id": np.concatenate(kept_id), "score": np.concatenate(kept_score)}) if sum(lengths) else empty
 
 
 def vectors(embeddings: DataFrame) -> DataFrame:
