@@ -17,8 +17,6 @@ SHARDS = 16
 BLOCKS_PER_SHARD = 32
 SEED = "mix-1"
 ROWS_PER_BIN = 2_000
-#: A shard is written in so many parts, each shuffled.
-PARTS = 32
 
 
 def _uniform(*parts: Column | str) -> Column:
@@ -167,25 +165,28 @@ def taken_words(mixed: DataFrame) -> DataFrame:
 
 
 def mixture(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The mix itself, a row per piece: (shard, place, pass, words, row), where ``row`` packs the columns of ``docs``.
+    """The mix itself, a row per piece: (shard, place, pass, words, block, row), where ``row`` packs the columns of ``docs``.
 
-    The text in ``row`` ends after the piece's words. ``place`` shuffles each shard by itself: sorting by
-    (shard, place) gives the training order, in which the rows of each partition stand. The texts move once, to meet their pieces; rows that are
-    equal in doc_id, source and text take turns.
+    The text in ``row`` ends after the piece's words. ``place`` shuffles each shard by itself: sorting by (shard, place) gives the
+    training order, in which the rows of each partition stand; written by ``shard``, each shard is a folder. The texts move once, to
+    meet their pieces; rows that are equal in doc_id, source and text take turns.
     """
-    same = ["doc_id", "source", "hash"]
-    turn = F.row_number().over(Window.partitionBy(*same).orderBy(F.size("pieces")))
-    pieces = mixed.where(F.size("pieces") > 0).withColumn("turn", turn)
-    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row")).select(
-        "row", F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.source").cast("string").alias("source"), F.xxhash64(F.col("row.text").cast("string")).alias("hash"))
-    numbered = packed.withColumn("turn", F.row_number().over(Window.partitionBy(*same).orderBy("hash")))
-    met = numbered.alias("d").join(pieces.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & F.col("d.source").eqNullSafe(F.col("p.source"))
-                                   & (F.col("d.hash") == F.col("p.hash")) & (F.col("d.turn") == F.col("p.turn")))
-    rows = met.select("row", "p.size", F.explode("pieces").alias("piece")).select("row", "size", "piece.*")
+    key = lambda i, s, h: F.md5(F.concat_ws("|", F.coalesce(i.cast("string"), F.lit("-")), h.cast("string"), F.when(s.isNull(), "-").otherwise(F.concat(F.lit("+"), s))))
+    empty = mixed.schema["pieces"].dataType
+    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    texts = packed.select(key(F.col("row.doc_id").cast("long"), F.col("row.source").cast("string"), F.xxhash64(F.col("row.text").cast("string"))).alias("key"),
+                          F.lit(False).alias("is_piece"), F.lit(None).cast("long").alias("size"), F.lit(None).cast(empty).alias("pieces"), "row")
+    pieces = mixed.where(F.size("pieces") > 0).select(key(F.col("doc_id"), F.col("source"), F.col("hash")).alias("key"), F.lit(True).alias("is_piece"), "size", "pieces",
+                                                     F.lit(None).cast(packed.schema["row"].dataType).alias("row"))
+    # Both sides in one exchange: rows of a key are numbered on each side, and those with one number are a text and its pieces.
+    both = texts.unionByName(pieces).repartition("key").withColumn("turn", F.row_number().over(Window.partitionBy("key", "is_piece").orderBy("pieces")))
+    meet = Window.partitionBy("key", "turn").orderBy(F.col("is_piece").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = both.withColumn("found", F.first(F.struct("is_piece", "size", "pieces")).over(meet)).where("NOT is_piece AND found.is_piece")
+    rows = met.select("row", "found.size", F.explode("found.pieces").alias("piece")).select("row", "size", "piece.*")
     cut = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), F.col("words").cast("int")), "")
     text = F.when(F.col("words") == F.col("size"), F.col("row.text")).otherwise(cut)
-    placed = rows.select("shard", F.xxhash64(F.lit(SEED), "row.doc_id", "pass", "block").alias("place"), "pass", "words", F.col("row").withField("text", text).alias("row"))
-    return placed.repartition("shard", F.pmod("place", F.lit(PARTS))).sortWithinPartitions("shard", "place")
+    placed = rows.select("shard", F.xxhash64(F.lit(SEED), "row.doc_id", "pass", "block").alias("place"), "pass", "words", "block", F.col("row").withField("text", text).alias("row"))
+    return placed.sortWithinPartitions("shard", "place")
 
 
 #: The same over table ``documents`` in DuckDB's SQL.
