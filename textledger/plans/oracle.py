@@ -480,6 +480,11 @@ def oracle_sql() -> dict[str, str]:
         "job_full_refresh": f"""WITH {_deduplicated(CLASSIFIED, untimed_by_content=True)}, {_features(everything)}
             SELECT {_out(LOCAL_COLUMNS)} FROM features""",
         **_jobs(),
+        "incremental_bucketed": f"""WITH {MSG} SELECT raw_id, borrower_id, CAST(txn_date AS VARCHAR) AS txn_date FROM raw
+            WHERE txn_date IS NULL OR txn_date > DATE '{CUT}'""",
+        "lender_counts_90d": f"""WITH {CLASSIFIED} SELECT borrower_id, count(DISTINCT sender) AS lender_count FROM classified
+            WHERE borrower_id IS NOT NULL AND sender_tag = 'LENDER' AND {_lookback(90)} AND txn_date <= DATE '{AS_OF}' GROUP BY borrower_id""",
+        "stream_dedup_stored": f"""WITH {MSG} SELECT DISTINCT borrower_id, inbox_time_ms, CASE WHEN inbox_time_ms IS NULL THEN raw_id END AS untimed_id FROM raw""",
         "labels_from_rule_join": sql["labels_from_rule_table"],
         "keywords_in_documents": f"""WITH k AS (SELECT DISTINCT keyword FROM (
               SELECT unnest(regexp_split_to_array(lower("text"), '[^a-z]+')) AS keyword FROM benchmark

@@ -23,6 +23,7 @@ from ..operators.features import (
 )
 from ..operators.merge import empty_features, merge_features, not_yet_processed
 from ..operators.rolling import rolling_credit
+from ..operators.sketches import daily_lenders, lender_counts
 from ..operators.rule_join import label_by_rules, matches
 from ..operators.profile import profile_input, score_profile, wide_profile
 from ..rules import DEFAULT_RULES, RuleSet
@@ -30,10 +31,10 @@ from ..sources.messages import classify_increment, land_raw, read_messages_csv,
 from ..sources.settle import fresh_path, settle
 from ..sources.sinks import (
     create_external_table, flatten_for_sink, parse_categories, publish_snapshot, read_classified, replace_classified,
-    write_features,
+    write_bucketed, write_features,
 )
 from ..streaming.jobs import (
-    classify_stream, daily_counts_stream, dedup_stream, drain_batches, drain_to_parquet, land_stream,
+    classify_stream, daily_counts_stream, dedup_stored, dedup_stream, drain_batches, drain_to_parquet, land_stream, read_stored,
     refresh_features,
 )
 from .inputs import LINE_COLUMNS, derive_messages, read_table, sms_input
@@ -327,6 +328,16 @@ def incremental_unclassified(spark, sf_dir):
     return label_messages(todo).groupBy("txn_date", "sender_tag").agg(F.count("*").alias("n"))
 
 
+@query
+def incremental_bucketed(spark, sf_dir):
+    """What is left to classify, from a raw and a marker table that are stored in the same buckets of ids."""
+    raw, names = _raw(spark, sf_dir), [_own_name(n) for n in ("raw_bucketed", "marks_bucketed")]
+    write_bucketed(raw.select("raw_id", "borrower_id", "inbox_time_ms", "txn_date"), names[0], "raw_id", 8, fresh_path(spark, "raw-bucketed"))
+    done = raw.where(F.col("txn_date") <= F.lit(CUT).cast("date")).select("raw_id")
+    write_bucketed(done, names[1], "raw_id", 8, fresh_path(spark, "marks-bucketed"))
+    return not_yet_processed(spark.table(names[0]), spark.table(names[1])).select("raw_id", "borrower_id", "txn_date")
+
+
 @query
 def incremental_runs(spark, sf_dir):
     """Three runs of one date, the last two of which must add nothing, then one of the next date."""
@@ -462,6 +473,13 @@ def profile_wide_past(spark, sf_dir):
     return score_profile(wide_profile(rows, CUT, LOOKBACK_DAYS)).drop("risk_score", "risk_flag")
 
 
+@query
+def lender_counts_90d(spark, sf_dir):
+    """Different lenders of a borrower's last 90 days, from senders kept per day."""
+    days = settle(daily_lenders(profile_input(_raw(spark, sf_dir))), "lenders")
+    return lender_counts(days, AS_OF)
+
+
 @query
 def profile_risk(spark, sf_dir):
     rows = profile_input(_raw(spark, sf_dir))
@@ -668,6 +686,18 @@ def stream_dedup_whole(spark, sf_dir):
     return spark.read.schema("customer_id string, inbox_time_in_millis bigint").parquet(out)
 
 
+@query
+def stream_dedup_stored(spark, sf_dir):
+    """Deduplication of a stream against stored keys, three files a batch: copies of any age go, untimed ones by content."""
+    lines = fresh_path(spark, "lines")
+    read_table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS).repartition(6, "l_partkey").write.parquet(lines)
+    schema = read_table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS).schema
+    stream = derive_messages(spark.readStream.schema(schema).option("maxFilesPerTrigger", 3).parquet(lines))
+    out = fresh_path(spark, "stream")
+    drain_batches(stream, dedup_stored(spark, out, fresh_path(spark, "keys")), fresh_path(spark, "offsets"))
+    return read_stored(spark, out).select("borrower_id", "inbox_time_ms", F.when(F.col("inbox_time_ms").isNull(), F.col("raw_id")).alias("untimed_id"))
+
+
 @query
 def stream_land(spark, sf_dir):
     path = fresh_path(spark, "raw")

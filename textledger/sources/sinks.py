@@ -112,6 +112,13 @@ def publish_snapshot(features: DataFrame, name: str, version: str, location: str
     return table
 
 
+def write_bucketed(rows: DataFrame, name: str, key: str, buckets: int, location: str | None = None) -> None:
+    """A table stored in buckets by a key. Two such tables with as many buckets are joined by the key without an exchange."""
+    spread = rows.repartition(buckets, key)  # a bucket is one file
+    writer = spread.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", location) if location else writer).saveAsTable(name)
+
+
 def create_external_table(df: DataFrame, name: str, location: str) -> None:
     """Flat Parquet files plus a table over them; Spark derives the column types."""
     spark = df.sparkSession

@@ -8,15 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions import period_of
+from ..functions import message_key, period_of
 from ..operators.classify import classify, to_raw
 from ..operators.features import upsert_features
 from ..operators.merge import merge_features
 from ..rules import DEFAULT_RULES, RuleSet
+from ..schemas import PERIOD, RAW
 from ..sources.messages import landed
+from ..sources.settle import settled
+
+#: What a deduplicated stream keeps of a message.
+STORED = T.StructType([RAW[c] for c in ("raw_id", "borrower_id", "sms_sender", "sms_body", "inbox_time_ms", "txn_date")])
 
 
 def with_event_time(messages: DataFrame) -> DataFrame:
@@ -50,6 +57,49 @@ def dedup_stream(messages: DataFrame, late: str = "7 days", keep_untimed: bool =
     return first.unionByName(stamped.where(F.col("event_time").isNull())) if keep_untimed else first
 
 
+KEY = T.StructType([T.StructField("message_key", T.StringType()), PERIOD])
+
+
+def dedup_stored(spark: SparkSession, path: str, keys: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: first message per (borrower, millisecond) whatever the age of a copy; untimed ones by content.
+
+    What a batch brings is compared with the stored keys of the months that it has messages of, so the state that
+    a watermark would drop is a table instead, and of that table only partitions are read. A batch writes to a folder of its own under
+    ``path`` and under ``keys``, and does not look at its own keys: a replay gives the same rows again.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        with settled(to_raw(batch), "stream-batch") as raw:
+            keyed = raw.select("*", message_key(F.col("borrower_id"), F.col("inbox_time_ms"), F.col("raw_id")).alias("message_key"),
+                               period_of(F.col("txn_date")).alias("txn_period"))
+            months = [r[0] for r in keyed.select("txn_period").distinct().collect()]
+            dated = F.col("txn_period").isin([m for m in months if m is not None])
+            here = dated | F.col("txn_period").isNull() if None in months else dated
+            known = _or_none(spark, keys, KEY).where(here & (F.col("batch") != batch_id)).select("message_key")
+            first = F.row_number().over(Window.partitionBy("message_key").orderBy("raw_id"))
+            fresh = keyed.withColumn("_copy", first).where("_copy = 1").drop("_copy").join(known, "message_key", "left_anti")
+            fresh.drop("message_key").write.mode("overwrite").partitionBy("txn_period").parquet(f"{path}/batch={batch_id}")
+            written = spark.read.schema(T.StructType([*STORED, PERIOD])).parquet(f"{path}/batch={batch_id}")
+            marks = written.select(message_key(F.col("borrower_id"), F.col("inbox_time_ms"), F.col("raw_id")).alias("message_key"), "txn_period")
+            marks.write.mode("overwrite").partitionBy("txn_period").parquet(f"{keys}/batch={batch_id}")
+
+    return apply
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """What ``dedup_stored`` has kept so far."""
+    return _or_none(spark, path, T.StructType([*STORED, PERIOD])).drop("batch", "txn_period")
+
+
+def _or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    whole = T.StructType([*schema, T.StructField("batch", T.LongType())])
+    try:
+        return spark.read.schema(whole).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], whole)
+
+
 def daily_counts_stream(events: DataFrame, time: str, key: str, late: str = "1 day") -> DataFrame:
     """Rows per key and UTC day, emitted once a day is closed by the watermark."""
     day = F.window(time, "1 day")
