@@ -9,6 +9,7 @@ from textledger.operators.classify import to_raw
 from textledger.operators.merge import not_yet_processed
 from textledger.operators.sketches import daily_lender_sketches, daily_lenders, lender_counts
 from textledger.schemas import RAW_INPUT
+from textledger.sources.messages import land_once, read_raw
 from textledger.sources.settle import settled, shared_dir
 from textledger.sources.sinks import write_bucketed, write_checked
 from textledger.streaming.jobs import dedup_stored, dedup_stream, drain_batches, drain_to_parquet, read_stored
@@ -89,6 +90,16 @@ def test_constraints_are_counted_in_the_pass_that_writes(spark, tmp_path):
     assert len(plans) == 1 and plans[0].count("Scan") == 1 and "CollectMetrics" in plans[0]
 
 
+def test_a_run_id_names_one_upload(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    assert land_once(messages(spark, SAMPLES), path, "r1") == land_once(messages(spark, SAMPLES[::-1]), path, "r1") == 6
+    assert read_raw(spark, path).count() == 6 and land_once(messages(spark, SAMPLES[:2]), path, "r2") == 2
+    for other in (SAMPLES[:5], [*SAMPLES[:5], SAMPLES[0]]):
+        with pytest.raises(ValueError, match="other messages"):
+            land_once(messages(spark, other), path, "r1")
+    assert read_raw(spark, path).count() == 8
+
+
 def test_settled_rows_go_after_use(spark):
     folder = shared_dir(spark)
     with pytest.raises(ZeroDivisionError), settled(spark.range(5), "gone") as df:

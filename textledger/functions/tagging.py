@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..rules import DEFAULT_RULES, OTHER, RuleSet, keyword_tag, shortest_keys
+from ..rules import DEFAULT_RULES, OTHER, VIEW_LABELS, VIEW_OTHER_LABEL, RuleSet, keyword_tag, shortest_keys
 
 # All characters that count as white space at the ends of a sender.
 WHITE_SPACE = (
@@ -82,13 +82,11 @@ def label_array(tag: Column, body_lower: Column, rules: RuleSet = DEFAULT_RULES,
 
 def first_label(tag: Column, body_lower: Column) -> Column:
     """Single label by first match, for the tagged view."""
-    has = lambda *keys: any_key(body_lower, keys)
-    return (
-        F.when(has("salary", "sal cr", "payroll") & (tag == "BANK"), "SALARY_CREDIT")
-        .when(has("emi", "installment", "ecs", "nach"), "EMI_PAYMENT")
-        .when(has("loan disbursed", "loan amount credited"), "LOAN_DISBURSEMENT")
-        .when(has("failed", "declined", "insufficient"), "FAILED_TRANSACTION")
-        .when(has("credited", "cr rs"), "BANK_CREDIT")
-        .when(has("debited", "dr rs"), "BANK_DEBIT")
-        .otherwise("UNCATEGORISED")
-    )
+    arms = []
+    for name, keys, wanted in VIEW_LABELS:
+        hit = any_key(body_lower, keys)
+        arms.append((hit if wanted is None else hit & (tag == wanted), name))
+    label = F.when(*arms[0])
+    for arm in arms[1:]:
+        label = label.when(*arm)
+    return label.otherwise(VIEW_OTHER_LABEL)

@@ -11,9 +11,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..rules import AMOUNT_PATTERNS, BALANCE_PATTERNS
+from ..rules import AMOUNT_PATTERNS, BALANCE_PATTERNS, BALANCE_WORDS, CODE_MASK, HANDLE_MASK, VIEW_AMOUNT_PATTERN
 from .tagging import any_key
 
+# What masking looks for.
 WORD = r"\p{L}\p{N}_"
 SPACE = r"\s\p{Z}\x1c-\x1f\x85"
 
@@ -46,11 +47,11 @@ def sanitize_body(body: Column, otp_first: bool = False) -> Column:
     makes a new one.  So it costs no pass here; ``otp_first=True`` runs it in front
     of the others, where it has effect, and leaves longer runs to the account rule.
     """
-    text = F.regexp_replace(body, _SIX_DIGITS, "000000") if otp_first else body
+    text = F.regexp_replace(body, _SIX_DIGITS, CODE_MASK) if otp_first else body
     masked = mask_accounts(text, shortest=7 if otp_first else 6)
     text = F.when(text.rlike(r"\p{Nd}{5}"), masked).otherwise(text)
     # Without an @ sign the handle pattern would only scan every word in vain.
-    return F.when(F.contains(body, F.lit("@")), F.regexp_replace(text, _HANDLE, "XXXX@upi")).otherwise(text)
+    return F.when(F.contains(body, F.lit("@")), F.regexp_replace(text, _HANDLE, HANDLE_MASK)).otherwise(text)
 
 
 def _first_money(body: Column, patterns: Iterable[str]) -> Column:
@@ -77,7 +78,7 @@ def wide_balance(body_lower: Column) -> Column:
 
     Every pattern needs one of five words; looking for them first spares most bodies the patterns.
     """
-    named = any_key(body_lower, ("avl", "available", "closing", "current", "bal"))
+    named = any_key(body_lower, BALANCE_WORDS)
     return F.when(named, _first_money(body_lower, BALANCE_PATTERNS))
 
 
@@ -96,5 +97,5 @@ def extract_balance(body_lower: Column) -> Column:
 
 def view_amount(body_lower: Column) -> Column:
     """Amount of the tagged view: one pattern, all commas removed, no number gives null."""
-    found = F.regexp_extract(body_lower, r"(?:rs\.?|inr|amount)\s*([\d,]+(?:\.\d{1,2})?)", 1)
+    found = F.regexp_extract(body_lower, VIEW_AMOUNT_PATTERN, 1)
     return F.replace(found, F.lit(","), F.lit("")).try_cast("decimal(15,2)")

@@ -28,7 +28,7 @@ BODIES: tuple[str | None, ...] = (
     "NACH debit of Rs.{amt} done for EMI, A/c XX{tail}",
     "Payroll: salary Rs.{amt} received in A/c {acct}",
     "Sent to Hilltop liquor by UPI: Rs.{amt}, txn no {ref}",
-    "INR {grp} debited from A/c {acct} on 15-Mar. Available balance is ₹{more}",
+    "INR {grp} debited from A/c {acct} on 9th June. Available balance is ₹{more}",
     "Dear customer, ₹ {grp} spent at POS TXN wine shop. Bal: ₹{more}",
     "Your payment of Rs {amt} failed due to insufficient funds. Ref {ref}",
     "UPI payment to joe.{okey}@okbank of {amt} rs declined",

@@ -20,7 +20,7 @@ from ..operators.classify import OVERFLOW, classify, classify_deduplicated
 from ..operators.features import LOOKBACK_DAYS, on_date
 from ..rules import DEFAULT_RULES, RuleSet
 from ..schemas import CLASSIFIED, FEATURE_SCHEMA, INSTANTS, PARTIALS, PERIOD, RAW
-from ..sources.messages import landed
+from ..sources.messages import fingerprint, landed
 from ..sources.settle import settled
 from ..sources.sinks import by_period
 from ..sources.store import BUCKET, Manifest, Store, bucket_of
@@ -97,12 +97,6 @@ def _land(store: Store, messages: DataFrame, run_id: str, rules: RuleSet) -> tup
     return segment, {"raw": counts.pop("rows"), **counts}
 
 
-def _fingerprint(raw: DataFrame) -> list:
-    """Number of rows and a sum of hashes of their content, as text: equal for the same rows in any order."""
-    found = raw.agg(F.count("*").alias("n"), F.sum(F.xxhash64("raw_id").cast("decimal(38,0)")).alias("h")).first()
-    return [found.n, str(found.h)]
-
-
 def _markers(raw: DataFrame, known: DataFrame | None) -> DataFrame:
     """One row per message that is new: its key and the id that stands for it. Copies are dropped on the map side, without their text."""
     fresh = with_message_key(raw.select("borrower_id", "inbox_time_ms", "raw_id", "txn_date"))
@@ -170,7 +164,7 @@ def full_refresh(
     counts["borrowers"] = found["rows"]
     live = {"raw": [landed_in], "processed": [marked], "classified": [kept_in], **{t: [s] for t, s in segments.items()}, "features": store.buckets_of("features", featured)}
     settings = {"as_of": day, "lookback_days": lookback_days, "buckets": tables.buckets, "streams": now.settings.get("streams", {})}
-    published = store.publish(replace(now, tables=live, settings=settings, runs={run_id: _fingerprint(raw)}), tables.keep)
+    published = store.publish(replace(now, tables=live, settings=settings, runs={run_id: list(fingerprint(raw))}), tables.keep)
     features = store.live("features", SCHEMAS["features"], published)
     return Outcome(
         counts,
@@ -209,7 +203,7 @@ def daily_run(
     landed_in, counts = _land(store, messages, run_id, rules)
     raw, print_ = store.read("raw", RAW, [landed_in]), None
     if run_id in now.runs:
-        print_ = _fingerprint(raw)
+        print_ = list(fingerprint(raw))
         if print_ != now.runs[run_id]:
             store.discard("raw", landed_in)
             raise ValueError(f"run {run_id} has landed other messages before: {now.runs[run_id]} and {print_}")
@@ -227,7 +221,7 @@ def daily_run(
     after, counts["touched"] = _advance(store, now, added, tables, run_date, lookback_days, updated_at)
     new = {"raw": [] if print_ else [landed_in], "processed": [marked], "classified": [kept_in]}
     live = {t: now.tables.get(t, []) + s for t, s in new.items()}
-    published = store.publish(replace(after, tables=after.tables | live, runs=now.runs | {run_id: print_ or _fingerprint(raw)}), tables.keep)
+    published = store.publish(replace(after, tables=after.tables | live, runs=now.runs | {run_id: print_ or list(fingerprint(raw))}), tables.keep)
     classified = store.live("classified", SCHEMAS["classified"], published)
     checks = {"duplicate_ids": quality.unique_violations(on_date(classified, run_date), "raw_id")}
     if expected is not None:

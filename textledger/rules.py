@@ -192,6 +192,27 @@ BALANCE_PATTERNS: tuple[str, ...] = (
     r"bal[:\s]+(?:rs\.?|inr|₹)?\s*([\d,]+(?:\.\d{1,2})?)",
 )
 
+# Words of which every balance has one.
+BALANCE_WORDS: tuple[str, ...] = ("avl", "available", "closing", "current", "bal")
+
+# Amount of the tagged view.
+VIEW_AMOUNT_PATTERN = r"(?:rs\.?|inr|amount)\s*([\d,]+(?:\.\d{1,2})?)"
+
+# Labels of the tagged view, the first match counts: (label, keys, tag that it wants).
+VIEW_LABELS: tuple[tuple[str, tuple[str, ...], str | None], ...] = (
+    ("SALARY_CREDIT", ("salary", "sal cr", "payroll"), BANK),
+    ("EMI_PAYMENT", ("emi", "installment", "ecs", "nach"), None),
+    ("LOAN_DISBURSEMENT", ("loan disbursed", "loan amount credited"), None),
+    ("FAILED_TRANSACTION", ("failed", "declined", "insufficient"), None),
+    ("BANK_CREDIT", ("credited", "cr rs"), None),
+    ("BANK_DEBIT", ("debited", "dr rs"), None),
+)
+VIEW_OTHER_LABEL = "UNCATEGORISED"
+
+# What masking writes.
+HANDLE_MASK = "XXXX@upi"
+CODE_MASK = "000000"
+
 # Risk engine of the feature table: (points, limit) per signal, then the cuts.
 RISK_POINTS = {"bounce": 30, "loan_stacking": 20, "emi_load": 40, "credit_drop": 10}
 RISK_MAX_LOANS = 3
