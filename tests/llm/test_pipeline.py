@@ -11,6 +11,7 @@ import __spark_entry__
 import corpus_pipeline
 from textledger.llm import queries, subword_toxicity
 from textledger.llm.common import Scratch
+from textledger.sources.settle import shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,3 +98,26 @@ def test_query_equals_sql(spark, name):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     want = con.execute(f"SELECT {', '.join(found.columns)} FROM ({queries.oracle_sql()[name]})").fetchall()
     assert Counter(map(tuple, found.collect())) == Counter(want) and want
+
+
+def _folders(spark):
+    base = shared_dir(spark)
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(base)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {x.getPath().getName() for x in fs.listStatus(target)} if fs.exists(target) else set()
+
+
+@pytest.mark.parametrize("empty", [True, False])
+def test_odd_and_empty_tables_pass_and_intermediates_go(spark, tmp_path, empty):
+    words = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, None, None, "a", "x"), (2, "", "en", None, "x"), (None, "one\ntwo\nthree", None, "b", None), (None, None, None, None, None), (3, words, "en", "b", "x"),
+            (4, words, "de", "b", "y"), (5, "long " * 50_000, "en", "a", "y"), (5, "other text of the same id", "en", "a", "y")]
+    docs = spark.createDataFrame([] if empty else rows, "doc_id long, text string, lang string, source string, row string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([] if empty else [(1, 0, 0), (3, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    before = _folders(spark)
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert (len(found) == 0) == empty and {r.doc_id for r in found} <= {1, 2, 3, 4, 5, None}
+    left = _folders(spark) - before
+    assert len(left) == 1 and "mixing" in next(iter(left))  # the table that the result itself reads

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,11 +42,29 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that are begun within the block are removed at its end: what is built on them must be written by then."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            drop_folder(spark, path)
+
+
 class Scratch:
-    """Intermediate tables of one job in the shared folder; ``drop`` removes those no longer read."""
+    """Intermediate tables of one job in the shared folder; ``lasting`` ones are not swept."""
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, lasting: bool = False):
         self.spark, self.base, self.count = spark, fresh_path(spark, name), 0
+        if not lasting and (made := _made.get()) is not None:
+            made.append(self.base)
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.count += 1

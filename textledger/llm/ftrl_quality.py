@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, labelled_sample, whole_text
+from .common import each_text, id_and_text, labelled_sample, whole_text
 
 BUCKETS = 1 << 18
 #: The first buckets belong to n-grams of word shapes, the rest to n-grams of words.
@@ -120,7 +120,7 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            scores = [scorer.score(t) for t in batch.column("text").to_pylist()]
+            scores = [scorer.score(t) for t in each_text(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     return id_and_text(docs).select("doc_id", whole_text().alias("text")).mapInArrow(task, "doc_id long, score double")
