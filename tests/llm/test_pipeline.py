@@ -1,15 +1,18 @@
 """The pipeline stage by stage, and the queries against their SQL, over the smallest given tables."""
 
 import hashlib
+import random
+import re
 from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_operators import brute_dedup, brute_simhash, brute_targets
 
 import __spark_entry__
 import corpus_pipeline
-from textledger.llm import queries, subword_toxicity
+from textledger.llm import queries, similar_texts, simhash_dedup, subword_toxicity
 from textledger.llm.common import Scratch
 from textledger.sources.settle import shared_dir
 
@@ -40,10 +43,8 @@ def test_later_passages_go(steps):
     assert all(r.n_chars == len(r.text) for r in steps[2].collect())
 
 
-def test_one_of_each_group_stays(steps):
-    rows = {r.doc_id: r for r in steps[2].collect()}
-    fps = {i: brute_simhash(r.text) for i, r in rows.items()}
-    left, groups = set(rows), []
+def _smallest_of_groups(ids, linked):
+    left, groups = set(ids), []
     while left:
         group, todo = set(), [min(left)]
         while todo:
@@ -51,11 +52,63 @@ def test_one_of_each_group_stays(steps):
             if i in left:
                 left.remove(i)
                 group.add(i)
-                todo += [j for j in left if (fps[i] ^ fps[j]).bit_count() <= 2]
+                todo += [j for j in left if linked(i, j)]
         groups.append(min(group))
+    return groups
+
+
+def _shingles(text, width=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def _similar(one, other):
+    return len(one & other) >= 0.8 * len(one | other)
+
+
+def test_one_of_each_group_stays(steps):
+    rows = {r.doc_id: r for r in steps[2].collect()}
+    sets = {i: _shingles(r.text) for i, r in rows.items()}
+    groups = _smallest_of_groups(rows, lambda i, j: _similar(sets[i], sets[j]))
     assert sorted(map(tuple, steps[3].collect())) == sorted(tuple(rows[i]) for i in groups)
 
 
+def test_keep_one_follows_fingerprints(steps):
+    rows = {r.doc_id: r for r in steps[2].collect()}
+    fps = {i: brute_simhash(r.text) for i, r in rows.items()}
+    groups = _smallest_of_groups(rows, lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 2)
+    assert sorted(map(tuple, simhash_dedup.keep_one(steps[2], unnamed_stay=False).collect())) == sorted(tuple(rows[i]) for i in groups)
+
+
+def test_chains_and_large_groups_of_near_copies_leave_one(spark):
+    rng = random.Random(3)
+    texts = []
+    for g in range(6):
+        words = [f"g{g}w{i}" for i in range(300)]
+        for n in range(3 if g < 5 else 120):  # each copy is an edit of the one before: far members are not similar themselves
+            words = list(words)
+            words[rng.randrange(300)] = f"e{g}n{n}"
+            texts.append(" ".join(words))
+    texts += [" ".join(f"u{i}w{j}" for j in range(300)) for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [_shingles(t) for t in texts]
+    want = _smallest_of_groups(range(len(texts)), lambda i, j: _similar(sets[i], sets[j]))
+    assert len(want) == 26 and sorted(r.doc_id for r in similar_texts.keep_one_similar(docs).collect()) == want
+
+
+def test_similarity_at_its_limit(spark):
+    words = [f"w{i}" for i in range(14)]  # ten shingles of five words
+    texts = [" ".join(words), " ".join(words[:12]), " ".join(words[2:]), "", " \n", None, "two words", "Two  WORDS"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [_shingles(t or "") for t in texts]
+    assert _similar(sets[0], sets[1]) and not _similar(sets[1], sets[2])
+    assert similar_texts.jaccard(texts[0], texts[1]) == 0.8 and similar_texts.jaccard(texts[1], texts[2]) == 0.6
+    assert {r.doc_id for r in similar_texts.keep_one_similar(docs).collect()} >= {0, 3, 6}
+    assert not {4, 5, 7} & {r.doc_id for r in similar_texts.keep_one_similar(docs).collect()}
+    assert {r.doc_id for r in similar_texts.keep_one_similar(docs.withColumn("doc_id", F.lit(None).cast("long")), unnamed_stay=True).collect()} == {None}
+    assert similar_texts.keep_one_similar(docs.limit(0)).collect() == []
+
+
 def test_one_of_each_group_stays_without_ids(spark):
     base = [" ".join(f"{c}{i}" for i in range(400)) for c in "abc"]
     rows = [(None, base[0]), (None, base[0]), (None, base[0].upper()), (None, base[1]), (7, base[1]), (None, base[2]), (None, ""), (None, None)]

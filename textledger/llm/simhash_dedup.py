@@ -26,14 +26,21 @@ DENSE = 32
 _ROWS = 1 << 16
 
 
-def simhash(text: str, width: int = 3) -> int:
-    """Fingerprint of one text as a signed 64-bit number."""
+def shingle_hashes(text: str, width: int) -> np.ndarray:
+    """Hashes of the shingles of a text, repeats included; fewer words than ``width`` are one shingle, no words none."""
     words = text.encode().lower().split()  # bytes: exactly A-Z and ASCII white space
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     shingles = [b" ".join(words)] if len(words) < width else map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
-    total = max(1, len(words) - width + 1)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, total)
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, max(1, len(words) - width + 1))
+
+
+def simhash(text: str, width: int = 3) -> int:
+    """Fingerprint of one text as a signed 64-bit number."""
+    hashes = shingle_hashes(text, width)
+    total = len(hashes)
+    if not total:
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, total, _ROWS):
         block = hashes[at : at + _ROWS].astype("<u8", copy=False).view(np.uint8)
@@ -132,6 +139,27 @@ def _row_key(doc_id: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit("\n"), whole_text(text))))
 
 
+def only_first(docs: DataFrame, rooted: DataFrame, unnamed_stay: bool) -> DataFrame:
+    """The rows of ``docs`` that are the smallest ``first`` of a root of ``rooted``, all columns as they are."""
+    firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    chosen = (firsts.where("NOT first.unnamed") if unnamed_stay else firsts).select(F.col("first.key").alias("kept"))
+    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    keyed = packed.withColumn("key", _row_key(F.col("row.doc_id").cast("long"), F.col("row.text").cast("string")))
+    first = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))  # rows of one key have one text
+    stay = keyed.join(chosen, F.col("key") == F.col("kept")).withColumn("nth", first).where("nth = 1").select("row.*")
+    return stay.unionByName(packed.where("row.doc_id IS NULL").select("row.*")) if unnamed_stay else stay
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, text) of every row, null texts empty."""
+    return id_and_text(docs).select("doc_id", _row_key(F.col("doc_id"), F.col("text")).alias("key"), whole_text().alias("text"))
+
+
+def first_member() -> Column:
+    """The member of a group that stays: the smallest id, rows without one last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key"))
+
+
 def keep_one(docs: DataFrame, width: int = 3, unnamed_stay: bool = True) -> DataFrame:
     """One row of each component, all columns as they are: the one with the smallest doc_id.
 
@@ -140,12 +168,5 @@ def keep_one(docs: DataFrame, width: int = 3, unnamed_stay: bool = True) -> Data
     without doc_id stay; otherwise one of them stands for a component that has no id at all, and the others go like any copy.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
-    rows = id_and_text(docs).select("doc_id", _row_key(F.col("doc_id"), F.col("text")).alias("key"), whole_text().alias("text"))
-    rooted = _rooted(scratch, scratch.keep(_fingerprinted(rows, width)), F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")))
-    firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    chosen = (firsts.where("NOT first.unnamed") if unnamed_stay else firsts).select(F.col("first.key").alias("kept"))
-    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    keyed = packed.withColumn("key", _row_key(F.col("row.doc_id").cast("long"), F.col("row.text").cast("string")))
-    first = F.row_number().over(Window.partitionBy("key").orderBy("row.text"))
-    stay = keyed.join(chosen, F.col("key") == F.col("kept")).withColumn("nth", first).where("nth = 1").select("row.*")
-    return stay.unionByName(packed.where("row.doc_id IS NULL").select("row.*")) if unnamed_stay else stay
+    rooted = _rooted(scratch, scratch.keep(_fingerprinted(keyed_texts(docs), width)), first_member())
+    return only_first(docs, rooted, unnamed_stay)
