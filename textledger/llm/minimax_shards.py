@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,8 +16,8 @@ SHARDS = 8
 #: keys: all prefixes of the first length at first, then longer ones of those that matter.
 DIGITS = 3
 FINER = 2
-#: Rows of a shard are numbered in so many parts at once.
-PARTS = 64
+#: Rows of a shard are numbered in parts of about so many at once.
+ROWS_PER_PART = 100_000
 
 
 class Ends:
@@ -138,7 +140,9 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         at = len(prefixes[0]) if len({*map(len, prefixes)}) == 1 else None
         if at is None:  # prefixes of several lengths: one length at a time
             return [n for size in sorted({*map(len, prefixes)}) for n in finer([p for p in prefixes if len(p) == size], digits)]
-        chosen = sums if prefixes == [""] else sums.where(F.substring("key", 1, at).isin(prefixes))
+        # Ranges of keys, which reach the scan; the sums lie in the order of keys.
+        within = (F.col("key").between(p, p + "g") for p in prefixes)
+        chosen = sums if prefixes == [""] else sums.where(reduce(or_, within))
         found = chosen.groupBy(F.substring("key", 1, at + digits).alias("p")).agg(F.max("upto").alias("end"), F.min(F.col("upto") - F.col("bytes")).alias("begin"), F.count("*").alias("n")).collect()
         return sorted((offset[r.p[:DIGITS]] + r.end, offset[r.p[:DIGITS]] + r.begin, r.n, r.p) for r in found)
 
@@ -149,7 +153,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         last_keys.append(sums.where(F.col("key").startswith(prefix)).agg(F.max("key")).first()[0] if prefix else "")
     number = sum(((F.col("key") > key).cast("int") for key in last_keys), F.lit(0)).cast("int")
 
-    placed = rows.select("doc_id", "size", "text_crc32", "key", number.alias("shard"), F.pmod(F.xxhash64("doc_id", "key"), F.lit(PARTS)).cast("int").alias("part"))
+    parts = max(8, rows.count() // (shards * ROWS_PER_PART))
+    placed = rows.select("doc_id", "size", "text_crc32", "key", number.alias("shard"), F.pmod(F.xxhash64("doc_id", "key"), F.lit(parts)).cast("int").alias("part"))
     counts = placed.groupBy("shard", "part").count()
     before_part = F.sum("count").over(Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     starts_at = counts.select(F.col("shard").alias("s"), F.col("part").alias("p"), F.coalesce(before_part, F.lit(0)).alias("first_slot"))
