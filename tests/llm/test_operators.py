@@ -514,6 +514,20 @@ def test_edited_fingerprints_equal_brute_force(spark, nothing, monkeypatch):
     assert sketch_fingerprints.edited_fingerprints(nothing).count() == 0
 
 
+def test_ids_of_many_rows_are_cut_into_bins(spark, monkeypatch):
+    monkeypatch.setattr(sketch_fingerprints, "ROWS_PER_BIN", 20)
+    rows = [(None if i % 3 == 0 else 77 if i % 3 == 1 else i - 400, f"text {i} and more") for i in range(1200)] + [((1 << 63) - 1, "last"), (-(1 << 63), "first")]
+    docs = docs_of(spark, [(i, t, "s") for i, t in rows])
+    bins = Counter(r.bin for r in sketch_fingerprints.in_id_order(docs).where("NOT guest").collect())
+    assert sum(bins.values()) == len(rows) and max(bins.values()) <= 60 and len(bins) >= 40
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(r[1].encode(), 42)))[0]))
+    want = Counter()
+    for (i, text), (_, following) in zip(order, order[1:] + order[:1], strict=True):
+        half = len(text) // 2
+        want[i, hashlib.sha256((text[: len(text) - half] + following[:half]).encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in sketch_fingerprints.edited_fingerprints(docs).collect()) == want
+
+
 def test_fingerprints_of_odd_input(spark, odd):
     found = sketch_fingerprints.edited_fingerprints(odd).collect()
     assert len(found) == 10 and len({r.fingerprint for r in found if r.doc_id == 4}) == 1 and {r.fingerprint for r in found if r.doc_id in (1, 2, 3)} == {""}

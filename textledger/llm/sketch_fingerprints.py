@@ -14,6 +14,9 @@ WIDTH = 5
 ROWS_PER_BIN = 500
 #: The id range is first cut at so many quantiles, then evenly inside each.
 QUANTILES = 64
+#: Bins that are put in order together.
+RUN = 4096
+LARGEST = (1 << 63) - 1
 _SPLIT = r"[\x20\x09-\x0D]+"
 
 
@@ -81,30 +84,72 @@ def merged_sketches(parts: DataFrame, k: int = K) -> DataFrame:
     return least.groupBy("key").agg(F.slice(F.sort_array(F.collect_set("h")), 1, k).alias("sketch"))
 
 
+def _ranges(named: DataFrame) -> list[tuple[int | None, int | None, int]]:
+    """(low, high, pieces) of id ranges in ascending order, the last one for null ids: cut at quantiles, with an id that fills
+    a whole quantile in a range of its own, each in pieces of about ``ROWS_PER_BIN`` rows. The driver gets a count per range, at most 129."""
+    stats = named.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.percentile_approx(
+        "doc_id", [i / QUANTILES for i in range(1, QUANTILES)], 10_000).alias("cuts")).first()
+    if stats["low"] is None:
+        edges = [0, 1]
+    else:
+        cuts = stats["cuts"]
+        alone = {c for c, after in zip(cuts, cuts[1:], strict=False) if c == after}
+        inner = sorted(e for e in {stats["low"], *cuts, *(c + 1 for c in alone)} if e <= stats["high"])
+        edges = [*inner, min(stats["high"] + 1, LARGEST)]
+    counts = dict(named.groupBy(_range_of(edges).alias("range")).count().collect())
+    pieces = [max(1, round(counts.get(i, 0) / ROWS_PER_BIN)) for i in range(len(edges))]
+    return [*zip(edges, edges[1:], pieces, strict=False), (None, None, pieces[-1])]
+
+
+def _range_of(edges: list[int]) -> Column:
+    found = sum(((F.col("doc_id") >= F.lit(e)).cast("int") for e in edges[1:-1]), F.lit(0))
+    return F.when(F.col("doc_id").isNull(), F.lit(len(edges) - 1)).otherwise(found)
+
+
+def _bin(ranges: list[tuple[int | None, int | None, int]], h: Column) -> Column:
+    """Number of a row's bin: ranges of several ids are cut evenly by id, those of one id, and null ids, evenly by the hash ``h`` of the text."""
+    listed = lambda values, kind: F.get(F.array(*(F.lit(v).cast(kind) for v in values)), F.col("range"))
+    lows, highs, pieces = zip(*ranges, strict=True)
+    starts = [sum(pieces[:i]) for i in range(len(pieces))]
+    one_id = [low is None or high - low <= 1 for low, high in zip(lows, highs, strict=True)]
+    id_, low, high = (x.cast("double") for x in (F.col("doc_id"), listed(lows, "long"), listed(highs, "long")))
+    by_id = (id_ - low) / (high - low)
+    by_hash = (h.cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    inside = F.floor(F.when(listed(one_id, "boolean"), by_hash).otherwise(by_id) * listed(pieces, "long")).cast("long")
+    return listed(starts, "long") + F.least(inside, listed(pieces, "long") - 1)
+
+
+def _before_each(firsts: DataFrame) -> DataFrame:
+    """(id, h, host): for the first row of each bin, the bin before it; the last bin is before the first one.
+
+    Bins are put in order within runs of ``RUN`` numbers, and then the runs, so that no task gets them all.
+    """
+    runs = firsts.withColumn("run", F.floor(F.col("bin") / RUN).cast("long"))
+    by_run = Window.orderBy("run")  # a row per RUN bins
+    ends = runs.groupBy("run").agg(F.max("bin").alias("last")).select(
+        "run", F.coalesce(F.lag("last").over(by_run), F.max("last").over(Window.partitionBy())).alias("end"))
+    inside = F.lag("bin").over(Window.partitionBy("run").orderBy("bin"))
+    return runs.withColumn("inside", inside).join(ends, "run").select("first.id", "first.h", F.coalesce("inside", "end").alias("host"))
+
+
 def in_id_order(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, bin, guest): ids ascend from bin to bin, and each bin also has the rows of the next bin's first id as guests.
+    """(doc_id, text, bin, guest): ids ascend from bin to bin, and each bin also has the next bin's first row as its guest.
 
-    So the next document of every row is in its own bin, and texts move once. Ids are cut at quantiles and evenly between
-    them. Null ids come last; rows with the same id are in the order of their texts' hashes. The last bin's guest is the first document; of several guests with one id only the first counts.
+    So the next document of every row is in its own bin, and texts move once. Null ids come last; rows with the same id are in the order
+    of their texts' hashes. The last bin's guest is the first document. An id that many rows share, or a null one, has bins of its own, cut by these
+    hashes; only rows that are equal in id and text, or ids in clusters too narrow for the quantiles, can fill one beyond its size.
     """
     scratch = Scratch(docs.sparkSession, "id-order")
     named = id_and_text(docs).select("doc_id", whole_text().alias("text"))
-    stats = named.agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.percentile_approx(
-        "doc_id", [i / QUANTILES for i in range(1, QUANTILES)], 10_000).alias("cuts")).first()
-    edges = sorted({stats["low"], *(stats["cuts"] or ())}) if stats["low"] is not None else [0]
-    edges.append((stats["high"] if stats["high"] is not None else 0) + 1)
-    per = max(1, round(stats["n"] / ROWS_PER_BIN / (len(edges) - 1)))
-    coarse = sum(((F.col("doc_id") >= e).cast("int") for e in edges[1:-1]), F.lit(0))
-    listed = F.array(*map(F.lit, edges))
-    inside = named.withColumn("coarse", coarse).withColumn("low", F.get(listed, F.col("coarse"))).withColumn("high", F.get(listed, F.col("coarse") + 1))
-    even = F.floor((F.col("doc_id") - F.col("low")).cast("double") / (F.col("high") - F.col("low")).cast("double") * per).cast("long")
-    binned = inside.select("doc_id", "text", F.coalesce(F.col("coarse") * per + F.least(even, F.lit(per - 1)), F.lit((len(edges) - 1) * per)).alias("bin"))
-
-    firsts = scratch.keep(binned.groupBy("bin").agg(F.min("doc_id").alias("first")))
-    by_bin = Window.orderBy("bin")  # a row per bin
-    hosts = scratch.keep(firsts.select(F.col("first").alias("id"), F.coalesce(F.lag("bin").over(by_bin), F.max("bin").over(Window.partitionBy())).alias("host")))
-    guests = binned.join(hosts, F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "text", F.col("host").alias("bin"))
-    return binned.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
+    ranges = _ranges(named)
+    edges = [low for low, _, _ in ranges[:-1]] + [ranges[-2][1]]
+    binned = (named.withColumn("h", F.xxhash64("text")).withColumn("range", _range_of(edges))
+              .withColumn("bin", _bin(ranges, F.col("h"))).select("doc_id", "text", "h", "bin"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), "h"))
+    hosts = scratch.keep(_before_each(scratch.keep(binned.groupBy("bin").agg(first.alias("first")))))
+    met = binned.drop("bin").join(hosts, F.col("doc_id").eqNullSafe(F.col("id")) & (binned["h"] == hosts["h"]))
+    guests = met.groupBy(F.col("host").alias("bin")).agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    return binned.drop("h").withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
 
 
 def edited_fingerprints(docs: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
