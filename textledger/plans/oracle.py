@@ -11,9 +11,8 @@ from __future__ import annotations
 from ..rules import (
     AMOUNT_PATTERNS, BALANCE_PATTERNS, EXCLUSIONS, LABELS, SENDER_HEADERS, SENDER_KEYWORDS,
 )
-from ..operators.features import LOOKBACK_DAYS
 from .inputs import messages_sql
-from .registry import AS_OF, CUT, LOOKUP_ID, OTHER_KEYWORDS, QUIET_DATE, RUN_DATE, STAMPS
+from .registry import AS_OF, CUT, LAST_YEAR, LOOKUP_ID, OTHER_KEYWORDS, QUIET_DATE, RUN_DATE, STAMPS
 
 
 def _text(value: str) -> str:
@@ -284,7 +283,7 @@ def _average(test: str, value: str) -> str:
 
 _ALCOHOL, _UPI, _SALARY = _has("ALCOHOL_SPEND"), _has("UPI_PAYMENT"), _has("SALARY_CREDIT")
 PROFILE = f"""{CLASSIFIED},
-picked AS (SELECT * FROM classified WHERE borrower_id IS NOT NULL AND {_lookback(LOOKBACK_DAYS)}),
+picked AS (SELECT * FROM classified WHERE borrower_id IS NOT NULL AND {_lookback(LAST_YEAR)}),
 newest AS (
   SELECT borrower_id, balance AS latest FROM (
     SELECT borrower_id, balance, row_number() OVER (PARTITION BY borrower_id ORDER BY inbox_time_ms DESC, balance DESC) AS rn
@@ -390,7 +389,7 @@ def oracle_sql() -> dict[str, str]:
         "credit_momentum_30d": f"""{all_history} SELECT borrower_id, CAST(m1 AS DOUBLE) AS credit_last_30d,
             CAST(m2 AS DOUBLE) AS credit_prior_30d, credit_momentum FROM features
             WHERE borrower_id IN (SELECT borrower_id FROM classified WHERE {CREDIT} AND amount IS NOT NULL)""",
-        "risk_score": f"""WITH {CLASSIFIED}, {_features(_lookback(LOOKBACK_DAYS))} SELECT borrower_id, risk_score, risk_flag FROM features""",
+        "risk_score": f"""WITH {CLASSIFIED}, {_features(_lookback(LAST_YEAR))} SELECT borrower_id, risk_score, risk_flag FROM features""",
         "risk_distribution": f"""{features90} SELECT risk_flag, count(*) AS borrowers,
             round(CAST(100 AS DOUBLE) * count(*) / sum(count(*)) OVER (), 1) AS pct FROM features GROUP BY risk_flag""",
         "avg_credit_by_risk": f"""{features90} SELECT risk_flag, count(*) AS borrowers,
@@ -407,11 +406,11 @@ def oracle_sql() -> dict[str, str]:
             CAST(min_balance_proxy AS DOUBLE) AS min_balance_proxy, alcohol_txn_count,
             CAST(alcohol_spend_amount AS DOUBLE) AS alcohol_spend_amount, night_debit_count, failed_txn_count,
             salary_credit_count > 0 AS salary_detected,
-            round(CAST(credit * 30 AS DOUBLE) / {LOOKBACK_DAYS}, 2) AS monthly_credit_amount,
-            round(CAST(debit * 30 AS DOUBLE) / {LOOKBACK_DAYS}, 2) AS monthly_debit_amount,
+            round(CAST(credit * 30 AS DOUBLE) / {LAST_YEAR}, 2) AS monthly_credit_amount,
+            round(CAST(debit * 30 AS DOUBLE) / {LAST_YEAR}, 2) AS monthly_debit_amount,
             CASE WHEN prior > 0 THEN CAST(100 AS DOUBLE) * (CAST(recent AS DOUBLE) - CAST(prior AS DOUBLE)) / CAST(prior AS DOUBLE) END
               AS mom_credit_trend_pct,
-            '{AS_OF}' AS feature_date, CAST({LOOKBACK_DAYS} AS BIGINT) AS lookback_days
+            '{AS_OF}' AS feature_date, CAST({LAST_YEAR} AS BIGINT) AS lookback_days
             FROM scored w LEFT JOIN newest n ON w.borrower_id = n.borrower_id""",
         "profile_risk": f"""WITH {PROFILE} SELECT borrower_id, risk_score, CASE WHEN risk_score >= 5 THEN 'HIGH'
             WHEN risk_score >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS risk_flag FROM scored""",
@@ -451,7 +450,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_daily_counts": """SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS sms_count FROM events
             WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)
             GROUP BY user_id, CAST(ts AS DATE)""",
-        "stream_feature_refresh": f"""WITH {CLASSIFIED}, narrow AS ({_NARROW.format(where=_lookback(LOOKBACK_DAYS))})
+        "stream_feature_refresh": f"""WITH {CLASSIFIED}, narrow AS ({_NARROW.format(where=_lookback(LAST_YEAR))})
             SELECT {_out(UPSERT_COLUMNS)}, CAST(0 AS BIGINT) AS count_debit_txn_90d, CAST(NULL AS VARCHAR) AS risk_flag FROM narrow""",
         "classified_table": f"""WITH {_deduplicated(CLASSIFIED)} SELECT year(txn_date) AS txn_year, month(txn_date) AS txn_month,
             sender_tag, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount, (SELECT count(*) FROM classified) AS rows_written
@@ -462,7 +461,7 @@ def oracle_sql() -> dict[str, str]:
     sql |= {
         "features_90d_past": f"WITH {CLASSIFIED}, {_features(past)} SELECT {_out(WAREHOUSE_COLUMNS)} FROM features",
         "profile_wide_past": sql["profile_wide"].replace(
-            _lookback(LOOKBACK_DAYS), f"{_lookback(LOOKBACK_DAYS)} AND txn_date <= DATE '{AS_OF}'").replace(AS_OF, CUT),
+            _lookback(LAST_YEAR), f"{_lookback(LAST_YEAR)} AND txn_date <= DATE '{AS_OF}'").replace(AS_OF, CUT),
         "landed_deduplicated": f"""WITH {_deduplicated(TAGGED, untimed_by_content=True)},
             keyed AS (SELECT *, sha256(concat_ws(chr(31), coalesce(borrower_id, chr(30)), coalesce(sms_body, chr(30)),
               coalesce(CAST(inbox_time_ms AS VARCHAR), chr(30)))) AS dedup_key FROM tagged)
