@@ -1,0 +1,33 @@
+"""What is read, made or moved once where it was several times, on rows of the tests' own."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from textledger.operators.classify import classify, to_raw
+from textledger.operators.rolling import rolling_credit
+from textledger.plans import inputs
+from textledger.plans.inputs import LINE_COLUMNS
+
+DAY = 86_400_000
+
+
+@pytest.fixture(scope="module")
+def lines(spark, tmp_path_factory):
+    """A folder with a table of lines before and after CUT, some of them twice."""
+    rows = [(o, o * 7 + n, o % 5 + 1, n, 100.0 + o + n / 4, datetime.datetime(1999, 1, 1) + datetime.timedelta(days=o)) for o in range(1, 400) for n in (1, 2, 3)]
+    folder = tmp_path_factory.mktemp("lines")
+    table = spark.createDataFrame(rows + rows[:50], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_shipdate timestamp_ntz")
+    table.select(*LINE_COLUMNS).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rolling_credit_classifies_once(spark, lines):
+    rolled = rolling_credit(classify(to_raw(inputs.sms_input(spark, lines))))
+    assert "l_partkey" not in plan(rolled) and "sms_body" not in plan(rolled)
+    assert rolled.count() > 10

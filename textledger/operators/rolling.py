@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import DAY_MS
 from ..schemas import MONEY_SUM
+from ..sources.settle import settle
 from .features import is_credit
 
 
@@ -21,10 +22,13 @@ def rolling_credit(classified: DataFrame, days: Sequence[int] = (30, 60)) -> Dat
     A range frame over a borrower's messages would put each borrower in one task. Here a window is whole days, from sums per
     day, and what it takes of its first and its last day: within a day, messages of that day come in and messages of the day n days before
     go out as the time goes on. So frames run over one day of a borrower, and over one row per day of it.
+
+    Credits are read once for themselves, once for each length of a window and once for the sums per day, so they are written first.
     """
-    credits = classified.where(
+    found = classified.where(
         F.col("borrower_id").isNotNull() & is_credit() & F.col("amount").isNotNull() & F.col("inbox_time_ms").isNotNull()
     ).select("raw_id", "borrower_id", "inbox_time_ms", "amount", F.floor(F.col("inbox_time_ms") / DAY_MS).cast("long").alias("_day"))
+    credits = settle(found, "credits")
     names = [f"credit_{n}d" for n in days]
     nothing = F.lit(None).cast(credits.schema["amount"].dataType)
 
