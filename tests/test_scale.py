@@ -4,11 +4,13 @@ import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from test_classify import messages
 
 from textledger.operators.classify import classify, to_raw
 from textledger.operators.rolling import rolling_credit
 from textledger.plans import inputs
 from textledger.plans.inputs import LINE_COLUMNS
+from textledger.streaming.jobs import dedup_stored, read_stored
 
 DAY = 86_400_000
 
@@ -31,3 +33,15 @@ def test_rolling_credit_classifies_once(spark, lines):
     rolled = rolling_credit(classify(to_raw(inputs.sms_input(spark, lines))))
     assert "l_partkey" not in plan(rolled) and "sms_body" not in plan(rolled)
     assert rolled.count() > 10
+
+
+def test_stored_stream_gathers_months(spark, tmp_path):
+    rows = [("a", "s", f"x{i}", 31 * DAY * (i % 6) + i) for i in range(600)]
+    out = str(tmp_path / "out")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dedup_stored(spark, out, str(tmp_path / "keys"))(messages(spark, rows + rows[:10]), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert read_stored(spark, out).count() == 600
+    assert len(list((tmp_path / "out").rglob("*.parquet"))) == len(list((tmp_path / "out").rglob("txn_period=*"))) == 6
