@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_classify import messages
 
+from textledger.operators import rule_join
 from textledger.operators.classify import classify, to_raw
 from textledger.operators.rolling import rolling_credit
 from textledger.plans import inputs
@@ -45,3 +46,13 @@ def test_stored_stream_gathers_months(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert read_stored(spark, out).count() == 600
     assert len(list((tmp_path / "out").rglob("*.parquet"))) == len(list((tmp_path / "out").rglob("txn_period=*"))) == 6
+
+
+def test_long_keywords_are_filed_under_long_grams(spark, monkeypatch):
+    filed = []
+    monkeypatch.setattr(rule_join, "settle", lambda df, name: filed.append(df) or df)
+    texts = spark.createDataFrame([(1, "credited to the account"), (2, "account")], "raw_id long, _body_lower string")
+    for words, size in ((["account", "credited"], 6), (["count", "account"], 5), (["the", "account"], 3), (["to", "account"], 3)):
+        found = rule_join.matches(texts, spark.createDataFrame([(w,) for w in words], "keyword string"))
+        assert sorted(map(tuple, found.collect())) == sorted((i, w) for i, t in ((1, "credited to the account"), (2, "account")) for w in words if w in t)
+        assert max(len(r.gram) for r in filed[-1].collect()) == size

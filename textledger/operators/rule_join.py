@@ -14,6 +14,8 @@ from ..sources.settle import settle
 from .classify import drop_noise, keep_financial, tag_senders
 
 GRAM = 3
+#: The same where every keyword is long: a longer n-gram is held by fewer texts, and fewer texts are checked in vain.
+LONG_GRAM = 6
 
 
 def _grams(text: Column, n: int) -> Column:
@@ -21,12 +23,12 @@ def _grams(text: Column, n: int) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
 
 
-def keyword_index(keywords: DataFrame, grams_of_messages: DataFrame) -> DataFrame:
+def keyword_index(keywords: DataFrame, grams_of_messages: DataFrame, gram: int = GRAM) -> DataFrame:
     """(gram, keyword): the n-gram of each keyword that fewest messages hold. Keywords with one that no message holds match nothing and are left out."""
     own = F.when(F.length("keyword") == 0, F.array(F.lit("")))
-    for n in range(1, GRAM):
+    for n in range(1, gram):
         own = own.when(F.length("keyword") == n, F.array("keyword"))
-    own = own.otherwise(_grams(F.col("keyword"), GRAM))
+    own = own.otherwise(_grams(F.col("keyword"), gram))
     filed = keywords.select("keyword", F.explode(own).alias("gram"))
     wanted = filed.select("gram").distinct()
     counts = grams_of_messages.join(wanted, "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
@@ -44,9 +46,10 @@ def matches(texts: DataFrame, keywords: DataFrame, key: str = "raw_id", body: st
     short = keywords.agg(F.min(F.length("keyword"))).first()[0]
     if short is None:
         return texts.select(key).join(keywords.limit(0))
-    all_ = [_grams(F.col(body), n) for n in range(min(max(short, 1), GRAM), GRAM + 1)] + ([F.array(F.lit(""))] if short == 0 else [])
+    longest = max(GRAM, min(short, LONG_GRAM))
+    all_ = [_grams(F.col(body), n) for n in range(min(max(short, 1), longest), longest + 1)] + ([F.array(F.lit(""))] if short == 0 else [])
     grams = texts.select(key, F.explode(F.concat(*all_)).alias("gram"))
-    index = settle(keyword_index(keywords, grams), "keyword-index")
+    index = settle(keyword_index(keywords, grams, longest), "keyword-index")
     met = grams.join(index, "gram").groupBy(key).agg(F.collect_set("keyword").alias("_met"))
     bodies = texts.select(key, body).dropDuplicates([key])
     held = F.filter("_met", lambda k: F.contains(F.col(body), k))
