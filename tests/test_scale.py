@@ -9,7 +9,7 @@ from test_classify import messages
 from textledger.operators import rule_join
 from textledger.operators.classify import classify, to_raw
 from textledger.operators.rolling import rolling_credit
-from textledger.plans import inputs
+from textledger.plans import inputs, registry
 from textledger.plans.inputs import LINE_COLUMNS
 from textledger.streaming.jobs import dedup_stored, read_stored
 
@@ -56,3 +56,17 @@ def test_long_keywords_are_filed_under_long_grams(spark, monkeypatch):
         found = rule_join.matches(texts, spark.createDataFrame([(w,) for w in words], "keyword string"))
         assert sorted(map(tuple, found.collect())) == sorted((i, w) for i, t in ((1, "credited to the account"), (2, "account")) for w in words if w in t)
         assert max(len(r.gram) for r in filed[-1].collect()) == size
+
+
+def test_unclassified_messages_are_looked_up_without_their_text(spark, lines):
+    left = registry.queries()["incremental_unclassified"](spark, lines)
+    assert not any("isnotnull" in line and "sha2(" in line for line in plan(left).splitlines() if "Filter" in line)
+    above = plan(left)[: plan(left).index("Join LeftAnti")]
+    assert "sms_body" not in above
+    kept = [(r.raw_id, str(r.txn_date), r.sender_tag) for r in registry.queries()["classify_labels"](spark, lines).join(
+        to_raw(inputs.sms_input(spark, lines)).select("raw_id", "txn_date").distinct(), "raw_id").collect()]
+    wanted = {}
+    for _, day, tag in kept:
+        if day == "None" or day > registry.CUT:
+            wanted[(day, tag)] = wanted.get((day, tag), 0) + 1
+    assert {(str(r.txn_date), r.sender_tag): r.n for r in left.collect()} == wanted and wanted
