@@ -3,7 +3,6 @@
 import datetime
 
 import pytest
-from pyspark.sql import functions as F
 from test_classify import messages
 
 from textledger.operators import rule_join
