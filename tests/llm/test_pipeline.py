@@ -174,3 +174,23 @@ def test_odd_and_empty_tables_pass_and_intermediates_go(spark, tmp_path, empty):
     assert (len(found) == 0) == empty and {r.doc_id for r in found} <= {1, 2, 3, 4, 5, None}
     left = _folders(spark) - before
     assert len(left) == 1 and "mixing" in next(iter(left))  # the table that the result itself reads
+
+
+def test_similar_texts_meet_and_unrelated_ones_do_not(spark):
+    rng = random.Random(5)
+    texts = []
+    for g in range(120):  # pairs at similarity 0.8 to 0.82
+        words = [f"g{g}w{i}" for i in range(204)]
+        texts += [" ".join(words), " ".join(words[40 - g % 3 :])]
+    texts += [" ".join(f"u{rng.randrange(1 << 60)}" for _ in range(30)) for _ in range(5000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marked = similar_texts._marked(simhash_dedup.keyed_texts(docs), similar_texts.WIDTH)
+    cells = marked.select("doc_id", F.explode("cells").alias("cell"))
+    assert cells.count() == len(texts) * similar_texts.BANDS
+    shared = cells.groupBy("cell").agg(F.collect_list("doc_id").alias("ids")).where("size(ids) > 1").collect()
+    assert all(max(r.ids) < 240 for r in shared)  # by segments of 24 bits, hundreds of unrelated texts met
+    sets = [_shingles(t) for t in texts[:240]]
+    similar = [i for i in range(0, 240, 2) if _similar(sets[i], sets[i + 1])]
+    kept = {r.doc_id for r in similar_texts.keep_one_similar(docs).collect()}
+    assert len(similar) == 120 and len([i for i in similar if i + 1 not in kept]) >= 114
+    assert len(kept) == len(texts) - len([i for i in similar if i + 1 not in kept])
