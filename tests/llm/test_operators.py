@@ -223,6 +223,19 @@ def test_rank_file(tmp_path):
     assert byte_bpe.read_ranks(str(tmp_path / "r")) == {b"a": 0, b"b": 1, b"ab": 2}
 
 
+def test_bpe_memo_keeps_frequent_pieces(monkeypatch):
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256}
+    codec = byte_bpe.Codec(byte_bpe.PerfectHash(ranks), r"\S+")
+    merged, merge = [], codec.merge
+    monkeypatch.setattr(byte_bpe, "MEMO", 4)
+    monkeypatch.setattr(codec, "merge", lambda token: merged.append(token) or merge(token))
+    text = " ".join(f"abab x{i}" for i in range(40))
+    expected = ",".join(f"256,256,120,{','.join(str(ord(c)) for c in str(i))}" for i in range(40))
+    assert ",".join(codec.encode(text)) == expected
+    assert merged.count(b"abab") == 1 and len(codec.memo) <= 4 and len(codec.memo.old) <= 4
+    assert codec.round_trip(text)[1:] == tuple(hashlib.sha256(t).hexdigest() for t in (expected.encode(), text.replace(" ", "").encode()))
+
+
 # ---- 5 and 7: classifiers
 
 def labelled(spark, kind):

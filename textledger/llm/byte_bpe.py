@@ -18,7 +18,7 @@ from .common import each_text, id_and_text, whole_text
 
 _MASK = (1 << 64) - 1
 _ODD = 0x9E3779B97F4A7C15
-#: Pre-tokens kept with their ids in each task; the memo starts anew when it is full.
+#: Pre-tokens kept with their ids in each task, in a young and an old half of this size: a full young half becomes the old one.
 MEMO = 1 << 18
 MEMO_CHARS = 48
 #: Texts longer than this are cut into pre-tokens and hashed piece by piece.
@@ -110,35 +110,33 @@ class Codec:
 
     def __init__(self, table: PerfectHash, pattern: str):
         self.table, self.find = table, regex.compile(pattern)
-        self.longest = max(map(len, table.keys), default=0)
         self.rank_of = dict(zip(table.keys, table.values, strict=True))
         self.bytes_of = {str(v): k for k, v in zip(table.keys, table.values, strict=True)}
         self.memo = _Memo(self)
 
     def merge(self, token: bytes) -> list[int]:
         """Ids of a byte string: the lowest-ranked pair of neighbours first, the leftmost of equals."""
-        n, get, longest = len(token), self.rank_of.get, self.longest
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        n, get = len(token), self.rank_of.get
+        # Where the part that begins at a byte ends, -1 within a part; the last entry is no end of any part.
+        after, before = [*range(1, n + 1), -2], list(range(-1, n - 1))
         heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := get(token[i : i + 2])) is not None]
         heapify(heap)
-        ends = list(range(1, n + 1))
         while heap:
             _, start, end = heappop(heap)
             middle = after[start]
-            if middle < 0 or middle >= n or ends[middle] != end:
+            if after[middle] != end:
                 continue  # one of its halves has gone into another merge
-            follower = after[start] = after[middle]
-            ends[start] = end
-            after[middle] = ends[middle] = -1
-            if follower < n:
-                before[follower] = start
-                if ends[follower] - start <= longest and (rank := get(token[start : ends[follower]])) is not None:
-                    heappush(heap, (rank, start, ends[follower]))
-            if (left := before[start]) >= 0 and end - left <= longest and (rank := get(token[left:end])) is not None:
+            after[start], after[middle] = end, -1
+            if end < n:
+                before[end] = start
+                follower = after[end]
+                if (rank := get(token[start:follower])) is not None:
+                    heappush(heap, (rank, start, follower))
+            if (left := before[start]) >= 0 and (rank := get(token[left:end])) is not None:
                 heappush(heap, (rank, left, end))
         ids, at = [], 0
         while at < n:
-            ids.append(get(token[at : ends[at]]))
+            ids.append(get(token[at : after[at]]))
             at = after[at]
         return ids
 
@@ -175,14 +173,17 @@ class Codec:
 
 
 class _Memo(dict):
+    """The young half is the dictionary itself. Frequent pre-tokens come back from the old half, so only rare ones are merged again."""
+
     def __init__(self, codec: Codec):
         super().__init__()
-        self.codec = codec
+        self.codec, self.old = codec, {}
 
     def __missing__(self, piece: str) -> str:
-        ids = self.codec.ids_of(piece)
+        ids = self.old.get(piece) or self.codec.ids_of(piece)
         if len(piece) <= MEMO_CHARS:
             if len(self) >= MEMO:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
