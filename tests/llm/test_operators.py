@@ -388,6 +388,14 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch, dense):
     assert brute_components(fps, edges) == brute_components(fps, [(a, b) for a, b in itertools.combinations(fps, 2) if near(a, b)])
 
 
+def test_links_broadcast_no_table_that_grows(spark):
+    """Spark takes the 35 values that a fingerprint looks up for one, so it would broadcast them at many times the size it allows."""
+    distinct = spark.range(5000).select(F.xxhash64("id").alias("fp"))
+    plan = simhash_dedup.links(distinct)._jdf.queryExecution().sparkPlan().toString()
+    broadcast = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert plan.count("SortMergeJoin") == 2 and all("LeftAnti" in line for line in broadcast)
+
+
 def test_near_duplicates(spark, odd, nothing):
     rng = random.Random(10)
     base = prose(rng, 400).split()

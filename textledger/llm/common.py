@@ -35,6 +35,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def shuffled(rows: DataFrame) -> DataFrame:
+    """``rows`` for a join that moves both sides. Spark sizes a table after an ``explode`` as if it had one row for each before, and a compressed
+    file as if that were its size in memory, so without this it may collect and broadcast a side that grows with the input."""
+    return rows.hint("merge")
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of this package's own intermediates."""
     jvm = spark.sparkContext._jvm

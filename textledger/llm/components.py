@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, shuffled
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link each larger neighbour of a node to the smallest of the node and its neighbours."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(shuffled(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = edges.join(shuffled(least), "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 

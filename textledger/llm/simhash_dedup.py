@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, each_text, id_and_text, whole_text
+from .common import Scratch, each_text, id_and_text, shuffled, whole_text
 from .components import connected_components
 
 SEED = 42
@@ -90,7 +90,7 @@ def links(distinct: DataFrame) -> DataFrame:
     would grow with the square of a group of near copies: there the lookups also enumerate the ball of
     radius 1 in the other segment. All fingerprints that meet in such a cell are within two bits of each
     other, every pair of the bucket within two bits meets in one, and a cell links its few members to the
-    smallest, so that no connection is lost.
+    smallest, so that no connection is lost. Only the list of dense buckets, fewer than one for 16 fingerprints, may be broadcast.
     """
     fp, apart = F.col("fp"), F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     values = F.array(*(F.struct(F.lit(k).alias("k"), _segment(fp, k).alias("value")) for k in range(len(RADII))))
@@ -100,12 +100,12 @@ def links(distinct: DataFrame) -> DataFrame:
     dense = table.groupBy("k", "value").count().where(F.col("count") > DENSE).select("k", "value")
 
     sparse = table.join(dense, ["k", "value"], "left_anti").withColumnRenamed("fp", "b")
-    pairs = (probes.withColumnRenamed("fp", "a").join(sparse, ["k", "value"])
+    pairs = (probes.withColumnRenamed("fp", "a").join(shuffled(sparse), ["k", "value"])
              .where((~F.col("own") | (F.col("a") < F.col("b"))) & (apart <= MAX_DISTANCE)).select("a", "b"))
 
     other = F.when(F.col("k") == 0, _segment(fp, 1)).otherwise(_segment(fp, 0))
     centres = F.when(F.col("own"), _ball(other)).otherwise(F.array(other))
-    cells = (probes.join(dense, ["k", "value"]).select("fp", "k", "value", F.explode(centres).alias("centre"))
+    cells = (probes.join(shuffled(dense), ["k", "value"]).select("fp", "k", "value", F.explode(centres).alias("centre"))
              .groupBy("k", "value", "centre").agg(F.min("fp").alias("a"), F.collect_set("fp").alias("all")).where(F.size("all") > 1))
     starred = cells.select("a", F.explode("all").alias("b")).where((F.col("a") != F.col("b")) & (apart <= MAX_DISTANCE))
     return pairs.union(starred)
@@ -115,7 +115,7 @@ def _rooted(scratch: Scratch, marked: DataFrame, first: Column) -> DataFrame:
     """(fp, first, root) of each distinct fingerprint of ``marked``: ``first`` over its rows, and the smallest fingerprint reachable."""
     distinct = scratch.keep(marked.groupBy("fp").agg(first.alias("first")))
     roots = connected_components(scratch.spark, links(distinct.select("fp")), "simhash-components")
-    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return distinct.join(shuffled(roots.withColumnRenamed("node", "fp")), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -130,8 +130,8 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     marked = scratch.keep(fingerprints(docs, width))
     rooted = _rooted(scratch, marked, F.min("doc_id"))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    groups = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return marked.join(groups, "fp").select("doc_id", "fp", "component_id")
+    groups = rooted.select("fp", "root").join(shuffled(named), "root").select("fp", "component_id")
+    return marked.join(shuffled(groups), "fp").select("doc_id", "fp", "component_id")
 
 
 def _row_key(doc_id: Column, text: Column) -> Column:
@@ -146,7 +146,7 @@ def only_first(docs: DataFrame, rooted: DataFrame, unnamed_stay: bool) -> DataFr
     packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
     keyed = packed.withColumn("key", _row_key(F.col("row.doc_id").cast("long"), F.col("row.text").cast("string")))
     first = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))  # rows of one key have one text
-    stay = keyed.join(chosen, F.col("key") == F.col("kept")).withColumn("nth", first).where("nth = 1").select("row.*")
+    stay = keyed.join(shuffled(chosen), F.col("key") == F.col("kept")).withColumn("nth", first).where("nth = 1").select("row.*")
     return stay.unionByName(packed.where("row.doc_id IS NULL").select("row.*")) if unnamed_stay else stay
 
 
