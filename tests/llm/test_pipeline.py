@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_operators import brute_dedup, brute_simhash, brute_targets
@@ -176,6 +177,33 @@ def test_odd_and_empty_tables_pass_and_intermediates_go(spark, tmp_path, empty):
     assert len(left) == 1 and "mixing" in next(iter(left))  # the table that the result itself reads
 
 
+def test_no_similar_pair_is_left_out(spark):
+    """Of so many pairs at the limit of similarity some share no band of MinHash values."""
+    rng = random.Random(8)
+    texts = []
+    for g in range(600):
+        words = [f"w{rng.randrange(1 << 40)}" for _ in range(14)]  # ten shingles, eight of them shared
+        texts += [" ".join(words), " ".join(words[2:])]
+    kept = similar_texts.keep_one_similar(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(0, 1200, 2))
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 0.9])
+def test_first_shingles_of_similar_sets_meet(similarity):
+    rng = np.random.default_rng(6)
+    common = np.sort(rng.integers(0, 1 << 63, 30, np.uint64))
+    known = common[::2], rng.integers(2, 9, 15)
+    for _ in range(300):
+        one = np.unique(np.concatenate([rng.choice(common, 12), rng.integers(0, 1 << 63, rng.integers(1, 40), np.uint64)]))
+        other = np.unique(np.concatenate([rng.choice(one, rng.integers(len(one) // 2, len(one) + 1), replace=False), rng.integers(0, 1 << 63, rng.integers(0, 8), np.uint64)]))
+        differ = len(np.setxor1d(one, other))
+        short, long = sorted((similar_texts._sketch(x).view(np.uint64) for x in (one, other)), key=len)
+        bits = np.bitwise_count(short ^ np.bitwise_xor.reduce(long.reshape(-1, len(short)))).sum()
+        assert bits <= differ and (differ - bits) % 2 == 0
+        if len(np.intersect1d(one, other)) >= similarity * len(np.union1d(one, other)):
+            assert len(np.intersect1d(*(similar_texts.first_ones(x, known, similarity) for x in (one, other))))
+
+
 def test_similar_texts_meet_and_unrelated_ones_do_not(spark):
     rng = random.Random(5)
     texts = []
