@@ -5,6 +5,7 @@ from test_classify import SAMPLES, messages
 from test_features import C
 
 from textledger.functions.keys import DAY_MS
+from textledger.operators import rule_join
 from textledger.operators.classify import label_messages, to_raw
 from textledger.operators.rolling import rolling_credit
 from textledger.operators.rule_join import label_by_rules, matches
@@ -44,6 +45,21 @@ def test_fifty_thousand_rules_without_collecting_them(spark):
     assert found == want and len(want) > 100
 
 
+def test_both_ways_to_match_agree_and_a_small_index_moves_no_text(spark, monkeypatch):
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abc ") for _ in range(n))
+    texts = [(i % 150, word(i % 150)) for i in range(150)] + [(None, "abc"), (151, None)]
+    texts += texts[:50]  # keys that repeat have one text
+    keywords = spark.createDataFrame([(k,) for k in {word(rng.randrange(1, 6)) for _ in range(80)}], "keyword string")
+    frame = spark.createDataFrame(texts, "raw_id long, _body_lower string")
+    here = matches(frame, keywords)
+    assert here._jdf.queryExecution().sparkPlan().toString().count("Join") == 1  # with the index, and none with the texts
+    monkeypatch.setattr(rule_join, "SMALL_INDEX", -1)
+    moved = matches(frame, keywords)
+    found = sorted(map(tuple, here.collect()))
+    assert found == sorted(map(tuple, moved.collect())) and len(found) > 1000
+
+
 def test_rule_join_equals_expressions(spark):
     rules = [("A", ["BANK"], "credited", "include"), ("A", ["UPI"], "upi", "include"), ("A", ["UPI"], "salary", "exclude"), ("B", ["BANK", "UPI"], "rs", "include"), ("C", ["BANK"], "x", "exclude")]
     table, raw = spark.createDataFrame(rules, RULES), to_raw(messages(spark, [*SAMPLES, SAMPLES[0]]))

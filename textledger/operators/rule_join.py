@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..rules import DEFAULT_RULES, RuleSet
-from ..sources.settle import settle
+from ..sources.settle import CODEC, settle
 from .classify import drop_noise, keep_financial, tag_senders
 
 GRAM = 3
 #: The same where every keyword is long: a longer n-gram is held by fewer texts, and fewer texts are checked in vain.
 LONG_GRAM = 6
+#: Characters of an index up to which it goes to all tasks.
+SMALL_INDEX = 4 << 20
 
 
 def _grams(text: Column, n: int) -> Column:
@@ -40,8 +42,9 @@ def keyword_index(keywords: DataFrame, grams_of_messages: DataFrame, gram: int =
 def matches(texts: DataFrame, keywords: DataFrame, key: str = "raw_id", body: str = "_body_lower") -> DataFrame:
     """(key, keyword) for every text that contains a keyword, once each.
 
-    ``texts (key, body)`` is read three times; equal keys must have equal texts. Keys and n-grams move, and each text
-    once, to the keywords that are left to check.
+    ``texts (key, body)`` is read twice, or three times; equal keys must have equal texts. Where the index of keywords is small it goes to the texts,
+    which are checked where they lie: only keys and what is found move. Otherwise keys and n-grams move, and each text once, to the keywords
+    that are left to check.
     """
     short = keywords.agg(F.min(F.length("keyword"))).first()[0]
     if short is None:
@@ -50,6 +53,9 @@ def matches(texts: DataFrame, keywords: DataFrame, key: str = "raw_id", body: st
     all_ = [_grams(F.col(body), n) for n in range(min(max(short, 1), longest), longest + 1)] + ([F.array(F.lit(""))] if short == 0 else [])
     grams = texts.select(key, F.explode(F.concat(*all_)).alias("gram"))
     index = settle(keyword_index(keywords, grams, longest), "keyword-index")
+    if (index.agg(F.sum(F.length("gram") + F.length("keyword") + 32)).first()[0] or 0) <= SMALL_INDEX:
+        held = texts.select(key, body, F.explode(F.concat(*all_)).alias("gram")).join(F.broadcast(index), "gram").where(F.contains(F.col(body), F.col("keyword")))
+        return held.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_set("keyword").alias("_met")).select(key, F.explode("_met").alias("keyword"))
     met = grams.join(index, "gram").groupBy(key).agg(F.collect_set("keyword").alias("_met"))
     bodies = texts.select(key, body).dropDuplicates([key])
     held = F.filter("_met", lambda k: F.contains(F.col(body), k))
@@ -62,14 +68,17 @@ def label_by_rules(raw: DataFrame, rules: DataFrame, base: RuleSet = DEFAULT_RUL
     A label is given where the sender's tag is among the tags of any of its rows, one of its include keywords is
     found and none of its exclude keywords. ``categories`` are sorted by name.
     """
-    quiet = settle(drop_noise(keep_financial(tag_senders(raw, base), base), base), "quiet-messages")
+    tagged = drop_noise(keep_financial(tag_senders(raw, base), base), base)
+    # Rows are known by a number, which is made once and written; ids are hashes and would be most of what moves.
+    stored = settle(tagged.drop("_body_lower").withColumn("_row", F.monotonically_increasing_id()), "quiet-messages", CODEC).where(F.col("raw_id").isNotNull())
+    quiet = stored.withColumn("_body_lower", F.coalesce(F.lower(F.col("sms_body")), F.lit("")))
     known = rules.where(F.col("keyword").isNotNull() & F.col("label").isNotNull())
     keywords = settle(known.select("keyword").distinct(), "keywords")
     tags = rules.groupBy("label").agg(F.array_distinct(F.flatten(F.collect_set("tags"))).alias("_tags"))
     each = known.select("label", "keyword", "kind").distinct().join(tags, "label")
-    found = matches(quiet, keywords).join(each, "keyword").join(quiet.select("raw_id", "sender_tag").distinct(), "raw_id")
+    found = matches(quiet, keywords, "_row").join(each, "keyword").join(stored.select("_row", "sender_tag"), "_row")
     include = F.when((F.col("kind") == "include") & F.array_contains("_tags", F.col("sender_tag")), F.col("label"))
     exclude = F.when(F.col("kind") == "exclude", F.col("label"))
-    sets = found.groupBy("raw_id").agg(F.collect_set(include).alias("_in"), F.collect_set(exclude).alias("_out"))
-    labels = sets.select("raw_id", F.array_sort(F.array_except("_in", "_out")).alias("categories")).where(F.size("categories") > 0)
-    return quiet.join(labels, "raw_id")
+    sets = found.groupBy("_row").agg(F.collect_set(include).alias("_in"), F.collect_set(exclude).alias("_out"))
+    labels = sets.select("_row", F.array_sort(F.array_except("_in", "_out")).alias("categories")).where(F.size("categories") > 0)
+    return quiet.join(labels, "_row").select("raw_id", *[c for c in tagged.columns if c != "raw_id"], "categories")
