@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_classify import SAMPLES, messages
 
+from textledger.functions import message_key, period_of
 from textledger.operators.classify import to_raw
 from textledger.operators.merge import not_yet_processed
 from textledger.operators.sketches import daily_lender_sketches, daily_lenders, lender_counts
@@ -108,3 +109,21 @@ def test_settled_rows_go_after_use(spark):
         raise ZeroDivisionError
     with pytest.raises(Exception):
         spark.read.parquet(path).count()
+
+
+def test_stored_rows_and_keys_hold_no_hash_and_keys_of_earlier_batches_count(spark, tmp_path):
+    out, keys = str(tmp_path / "out"), str(tmp_path / "keys")
+    start = 1_700_000_000_000
+    first, second = [("a", "s", "x", start), ("b", "s", "x", None)], [("a", "t", "y", start), ("b", "s", "x", None), ("b", "s", "z", None), ("c", "s", "x", start)]
+    each = dedup_stored(spark, out, keys)
+    each(messages(spark, first), 0)
+    for path in (out, keys):
+        assert not {"raw_id", "message_key"} & set(spark.read.parquet(f"{path}/batch=0").columns)
+    own = to_raw(messages(spark, first))
+    # As the code before wrote them: the hash, and nothing else.
+    marked = own.select(message_key(F.col("borrower_id"), F.col("inbox_time_ms"), F.col("raw_id")).alias("message_key"), period_of(F.col("txn_date")).alias("txn_period"))
+    marked.write.mode("overwrite").partitionBy("txn_period").parquet(f"{keys}/batch=0")
+    each(messages(spark, second), 1)
+    wanted = {r.raw_id for r in own.collect()} | {r.raw_id for r in to_raw(messages(spark, second[2:])).collect()}
+    got = read_stored(spark, out)
+    assert sorted(r.raw_id for r in got.collect()) == sorted(wanted) and got.columns[:2] == ["raw_id", "borrower_id"]
