@@ -1,3 +1,6 @@
+import hashlib
+import time
+
 import pytest
 from pyspark.sql import functions as F
 from test_classify import SAMPLES, messages
@@ -216,3 +219,35 @@ def test_sums_of_touched_buckets_are_pruned_by_partition(spark, tmp_path):
     full_refresh(messages(spark, [credit(f"b{i}", i + 1, MS + i) for i in range(40)]), tables, "r", as_of="2023-07-01")
     mine = read_table(spark, tables, "partials").where(F.col("bucket").isin([3]))
     assert "PartitionFilters: [bucket" in mine._jdf.queryExecution().executedPlan().toString().replace("isnotnull(bucket", "bucket")
+
+
+def test_hashes_that_follow_from_other_columns_are_not_stored(spark, tmp_path):
+    tables = Tables(str(tmp_path / "t"), 4)
+    full_refresh(messages(spark, [*SAMPLES, ("u", "kotakb", "untimed", None)]), tables, "r1", as_of="2023-07-10")
+    for table, columns in (("raw", {"raw_id", "dedup_key"}), ("processed", {"message_key"})):
+        assert not columns & set(spark.read.parquet(str(tmp_path / "t" / table)).columns)
+        assert read_table(spark, tables, table).columns == SCHEMAS[table].names
+    raw = read_table(spark, tables, "raw")
+    assert {r.raw_id for r in raw.collect()} == {r.raw_id for r in to_raw(messages(spark, [*SAMPLES, ("u", "kotakb", "untimed", None)])).collect()}
+    marks, ids = read_table(spark, tables, "processed").collect(), {r.raw_id: r for r in raw.collect()}
+    for mark in marks:
+        row = ids[mark.raw_id]
+        whole = f"{row.borrower_id}\x1f{row.inbox_time_ms if row.inbox_time_ms is not None else row.raw_id}"
+        assert row.borrower_id is None or mark.message_key == hashlib.sha256(whole.encode()).hexdigest()
+    assert marks
+    store = Store(spark, str(tmp_path / "old"))  # markers of the code before
+    old = spark.createDataFrame([("key", "id")], "message_key string, raw_id string").selectExpr("*", "date'2023-07-01' AS txn_period")
+    folder, _ = store.write("processed", old, ["txn_period"])
+    assert [r.message_key for r in jobs._rows(store, "processed", [folder]).collect()] == ["key"]
+
+
+def test_a_write_leaves_no_exchange_files(spark, tmp_path):
+    files = lambda: {f for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before, store = files(), Store(spark, str(tmp_path / "t"))
+    rows = spark.range(0, 20_000, 1, 4).withColumn("bucket", (F.col("id") % 4).cast("int")).groupBy("id", "bucket").count()
+    store.write("some", jobs.by_bucket(rows.withColumn("borrower_id", F.col("id").cast("string")), 4), ["bucket"])
+    until = time.time() + 20  # the files are removed in the background
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
